@@ -1,0 +1 @@
+"""No streaming operators: everything in this library is a batch job."""
