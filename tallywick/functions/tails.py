@@ -1,16 +1,15 @@
-"""Tail probabilities of the normal, t, F and chi-square laws as column expressions.
+"""Tail probabilities of the t, F and chi-square laws as SQL expressions.
 
 They run on result rows (one per test), stay on the JVM and need no Python
-worker.  Published methods: Lanczos' approximation of log-gamma, the power
-series and the continued fractions of the incomplete gamma and beta functions,
-and, for a large first beta argument, the gamma limit with the shifted
-argument ``a + (b - 1) / 2`` (relative error of order 1 / a**2).
+worker.  Arguments are the names of double columns, or SQL expressions over
+them.  Published methods: Lanczos' approximation of log-gamma, the power series
+and continued fractions (evaluated by Lentz's method) of the incomplete gamma
+and beta functions, and, for a large first beta argument, the gamma limit with
+the shifted argument ``a + (b - 1) / 2`` (relative error of order 1 / a**2).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,145 +25,123 @@ _LANCZOS = [
     9.9843695780195716e-6,
     1.5056327351493116e-7,
 ]
-_TINY = 1e-300
-_LARGE_BETA = 20_000.0
+_TINY = "1E-300D"
+_LARGE_BETA = "20000D"
 
 
-def log_gamma(z: Column) -> Column:
-    """Natural log of gamma for z >= 0.5."""
-    series = F.lit(_LANCZOS[0])
-    for i, c in enumerate(_LANCZOS[1:]):
-        series = series + F.lit(c) / (z + F.lit(float(i)))
-    t = z + F.lit(6.5)
-    return F.lit(0.5 * math.log(2 * math.pi)) + (z - 0.5) * F.log(t) - t + F.log(series)
+def _let(name: str, fields: dict[str, str], body: str) -> str:
+    """Binds values to a lambda variable, so that each is evaluated once."""
+    packed = ", ".join(f"'{field}', cast({value} as double)" for field, value in fields.items())
+    return f"element_at(transform(array(named_struct({packed})), {name} -> {body}), 1)"
 
 
-def _away_from_zero(x: Column) -> Column:
-    return F.when(F.abs(x) < _TINY, F.lit(_TINY)).otherwise(x)
+def _log_gamma(z: str) -> str:
+    """Natural log of gamma for z >= 0.5."""
+    series = " + ".join(
+        [f"{_LANCZOS[0]!r}D", *[f"{c!r}D / ({z} + {i}D)" for i, c in enumerate(_LANCZOS[1:])]]
+    )
+    return f"(0.5D * ln(2D * pi()) + ({z} - 0.5D) * ln({z} + 6.5D) - ({z} + 6.5D) + ln({series}))"
 
 
-def _with(col: Column, build) -> Column:
-    """Bind an expression to a lambda variable, so that it is evaluated once."""
-    return F.transform(F.array(col), build)[0]
+def _nonzero(x: str) -> str:
+    return f"if(abs({x}) < {_TINY}, {_TINY}, {x})"
 
 
-def _steps(size: Column) -> Column:
+def _steps(size: str) -> str:
     """Enough terms: the fractions converge in a few times sqrt(size) of them."""
-    count = F.least(F.lit(200.0) + 12 * F.sqrt(size), F.lit(200_000.0))
-    return F.sequence(F.lit(1), F.ceil(count).cast("int"))
+    return f"sequence(1, cast(least(200D + 12D * sqrt({size}), 200000D) as int))"
 
 
-def upper_gamma(s: Column, x: Column) -> Column:
+def _upper_gamma(s: str, x: str, name: str = "g") -> str:
     """Regularised upper incomplete gamma function Q(s, x)."""
+    s_, x_ = f"{name}.s", f"{name}.x"
+    scale = f"exp({s_} * ln({x_}) - {x_} - {_log_gamma(s_)})"
+    series = (
+        f"aggregate({_steps(f'{s_} + {x_}')}, named_struct('term', 1D / {s_}, 'total', 1D / {s_}), "
+        f"(p, k) -> named_struct('term', p.term * {x_} / ({s_} + k), 'total', p.total + p.term * {x_} / ({s_} + k)), "
+        f"p -> p.total)"
+    )
+    # one step of Lentz's method: b, c, d and the value h
+    grown = "q.b + 2D"
+    numerator = f"(k * ({s_} - k))"
+    next_d = f"1D / {_nonzero(f'({numerator} * q.d + {grown})')}"
+    next_c = _nonzero(f"({grown} + {numerator} / q.c)")
+    step = f"named_struct('b', {grown}, 'c', {next_c}, 'd', {next_d}, 'h', q.h * {next_c} * {next_d})"
+    start = f"1D / {_nonzero(f'({x_} + 1D - {s_})')}"
+    fraction = (
+        f"aggregate({_steps(s_)}, named_struct('b', {x_} + 1D - {s_}, 'c', 1D / {_TINY}, 'd', {start}, 'h', {start}), "
+        f"(q, k) -> {step}, q -> q.h)"
+    )
+    body = (
+        f"CASE WHEN {x_} <= 0D THEN 1D WHEN {x_} < {s_} + 1D THEN 1D - {scale} * {series} "
+        f"ELSE {scale} * {fraction} END"
+    )
+    return _let(name, {"s": s, "x": x}, body)
+
+
+def _beta_fraction(a: str, b: str, x: str) -> str:
+    def lentz(acc: str, coefficient: str) -> str:
+        d = f"1D / {_nonzero(f'(1D + {coefficient} * {acc}.d)')}"
+        c = _nonzero(f"(1D + {coefficient} / {acc}.c)")
+        return f"named_struct('c', {c}, 'd', {d}, 'h', {acc}.h * {c} * {d})"
+
+    even = f"(k * ({b} - k) * {x} / (({a} + 2D * k - 1D) * ({a} + 2D * k)))"
+    odd = f"(-({a} + k) * ({a} + {b} + k) * {x} / (({a} + 2D * k) * ({a} + 2D * k + 1D)))"
+    step = f"element_at(transform(array({lentz('p', even)}), m -> {lentz('m', odd)}), 1)"
+    start = f"1D / {_nonzero(f'(1D - ({a} + {b}) * {x} / ({a} + 1D))')}"
+    return (
+        f"aggregate({_steps(f'greatest({a}, {b})')}, named_struct('c', 1D, 'd', {start}, 'h', {start}), "
+        f"(p, k) -> {step}, p -> p.h)"
+    )
+
 
-    def evaluate(v: Column) -> Column:
-        s, x = v["s"], v["x"]
-        scale = F.exp(s * F.log(x) - x - log_gamma(s))
-
-        def series_term(acc: Column, k: Column) -> Column:
-            term = acc["term"] * x / (s + k)
-            return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
-
-        first = F.lit(1.0) / s
-        series = F.aggregate(
-            _steps(s + x),
-            F.struct(first.alias("term"), first.alias("total")),
-            series_term,
-        )["total"]
-
-        def fraction_term(acc: Column, k: Column) -> Column:
-            a = -k * (k - s)
-            b = acc["b"] + 2.0
-            d = F.lit(1.0) / _away_from_zero(a * acc["d"] + b)
-            c = _away_from_zero(b + a / acc["c"])
-            return F.struct(b.alias("b"), c.alias("c"), d.alias("d"), (acc["h"] * c * d).alias("h"))
-
-        b0 = x + 1.0 - s
-        d0 = F.lit(1.0) / _away_from_zero(b0)
-        fraction = F.aggregate(
-            _steps(s),
-            F.struct(b0.alias("b"), F.lit(1.0 / _TINY).alias("c"), d0.alias("d"), d0.alias("h")),
-            fraction_term,
-        )["h"]
-        return (
-            F.when(x <= 0, F.lit(1.0))
-            .when(x < s + 1.0, F.lit(1.0) - scale * series)
-            .otherwise(scale * fraction)
-        )
-
-    return _with(F.struct(s.cast("double").alias("s"), x.cast("double").alias("x")), evaluate)
-
-
-def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
-    def term(acc: Column, k: Column) -> Column:
-        def lentz(acc: Column, coef: Column) -> Column:
-            d = F.lit(1.0) / _away_from_zero(coef * acc["d"] + 1.0)
-            c = _away_from_zero(coef / acc["c"] + 1.0)
-            return F.struct(c.alias("c"), d.alias("d"), (acc["h"] * c * d).alias("h"))
-
-        even = k * (b - k) * x / ((a + 2.0 * k - 1.0) * (a + 2.0 * k))
-        odd = -(a + k) * (a + b + k) * x / ((a + 2.0 * k) * (a + 2.0 * k + 1.0))
-        return _with(lentz(acc, even), lambda mid: lentz(mid, odd))
-
-    d0 = F.lit(1.0) / _away_from_zero(F.lit(1.0) - (a + b) * x / (a + 1.0))
-    start = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"))
-    return F.aggregate(_steps(F.greatest(a, b)), start, term)["h"]
-
-
-def lower_beta(a: Column, b: Column, x: Column, complement: Column) -> Column:
+def _lower_beta(a: str, b: str, x: str, complement: str) -> str:
     """Regularised incomplete beta function I_x(a, b); ``complement`` is 1 - x.
 
     The complement is an argument because callers know it without cancellation.
     """
-
-    def evaluate(v: Column) -> Column:
-        a, b, x, y = v["a"], v["b"], v["x"], v["y"]
-        log_front = log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * F.log(x) + b * F.log(y)
-        front = F.exp(log_front)
-        direct = front * _beta_fraction(a, b, x) / a
-        mirrored = F.lit(1.0) - front * _beta_fraction(b, a, y) / b
-        # log(x) from the complement: x is close to one when a is large
-        limit = upper_gamma(b, -(a + (b - 1.0) / 2.0) * F.log1p(-y))
-        return (
-            F.when(x <= 0, F.lit(0.0))
-            .when(y <= 0, F.lit(1.0))
-            .when((a > _LARGE_BETA) & (b < F.sqrt(a)), limit)
-            .when(x < (a + 1.0) / (a + b + 2.0), direct)
-            .otherwise(mirrored)
-        )
-
-    packed = F.struct(
-        a.cast("double").alias("a"),
-        b.cast("double").alias("b"),
-        x.cast("double").alias("x"),
-        complement.cast("double").alias("y"),
+    front = (
+        f"exp({_log_gamma('(v.a + v.b)')} - {_log_gamma('v.a')} - {_log_gamma('v.b')} + v.a * ln(v.x) + v.b * ln(v.y))"
+    )
+    # the fraction converges fast below the mean of the law; above it the
+    # arguments are mirrored
+    mirrored = "v.x >= (v.a + 1D) / (v.a + v.b + 2D)"
+    turned = {
+        "a": f"if({mirrored}, v.b, v.a)",
+        "b": f"if({mirrored}, v.a, v.b)",
+        "x": f"if({mirrored}, v.y, v.x)",
+        "front": front,
+    }
+    share = _let("w", turned, f"w.front * {_beta_fraction('w.a', 'w.b', 'w.x')} / w.a")
+    # log(x) from the complement: x is close to one when a is large
+    limit = _upper_gamma("v.b", "-(v.a + (v.b - 1D) / 2D) * log1p(-v.y)")
+    body = (
+        f"CASE WHEN v.x <= 0D THEN 0D WHEN v.y <= 0D THEN 1D "
+        f"WHEN v.a > {_LARGE_BETA} AND v.b < sqrt(v.a) THEN {limit} "
+        f"WHEN {mirrored} THEN 1D - {share} ELSE {share} END"
     )
-    return _with(packed, evaluate)
+    return _let("v", {"a": a, "b": b, "x": x, "y": complement}, body)
 
 
-def t_two_sided(t: Column, dof: Column) -> Column:
-    """P(|T| > |t|) for Student's t; NULL in, NULL out."""
-    square = t * t
-    p = lower_beta(dof / 2.0, F.lit(0.5), dof / (dof + square), square / (dof + square))
-    return F.when(t.isNotNull() & dof.isNotNull(), p)
+def f_upper(f: str, dof1: str, dof2: str) -> Column:
+    """P(F > f) for Fisher's F; NULL in, NULL out."""
+    spread = f"(({dof2}) + ({dof1}) * ({f}))"
+    p = _lower_beta(f"({dof2}) / 2D", f"({dof1}) / 2D", f"({dof2}) / {spread}", f"({dof1}) * ({f}) / {spread}")
+    return F.expr(f"CASE WHEN ({f}) >= 0 AND ({dof1}) > 0 AND ({dof2}) > 0 THEN {p} END")
 
 
-def f_upper(f: Column, dof1: Column, dof2: Column) -> Column:
-    """P(F > f) for Fisher's F."""
-    spread = dof2 + dof1 * f
-    p = lower_beta(dof2 / 2.0, dof1 / 2.0, dof2 / spread, dof1 * f / spread)
-    return F.when(f.isNotNull() & dof1.isNotNull() & dof2.isNotNull(), p)
+def t_two_sided(t: str, dof: str) -> Column:
+    """P(|T| > |t|) for Student's t: the square of T follows F with 1 and dof."""
+    return f_upper(f"({t}) * ({t})", "1D", dof)
 
 
-def chi2_upper(x: Column, dof: Column) -> Column:
+def chi2_upper(x: str, dof: str) -> Column:
     """P(X > x) for chi-square."""
-    return F.when(x.isNotNull() & (dof > 0), upper_gamma(dof / 2.0, x / 2.0))
+    return F.expr(f"CASE WHEN ({x}) >= 0 AND ({dof}) > 0 THEN {_upper_gamma(f'({dof}) / 2D', f'({x}) / 2D')} END")
 
 
-def correlation_p(r: Column, n: Column) -> Column:
+def correlation_p(r: str, n: str) -> Column:
     """Two-sided p-value of a correlation coefficient over n pairs."""
-    dof = (n - 2).cast("double")
-    square = r * r
     # r*r = t*t / (dof + t*t), so the beta arguments need no division by 1 - r*r
-    p = lower_beta(dof / 2.0, F.lit(0.5), F.lit(1.0) - square, square)
-    return F.when((n >= 3) & r.isNotNull(), p)
+    p = _lower_beta(f"(({n}) - 2D) / 2D", "0.5D", f"1D - ({r}) * ({r})", f"({r}) * ({r})")
+    return F.expr(f"CASE WHEN ({n}) >= 3 AND ({r}) IS NOT NULL THEN {p} END")

@@ -40,7 +40,7 @@ def _pearson(a: Column, b: Column) -> list[Column]:
 
 def pearson(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     """r and two-sided p per pair; NULL below three rows or for a constant."""
-    return _per_pair(df, pairs, _pearson).withColumn("p", correlation_p(F.col("r"), F.col("n")))
+    return _per_pair(df, pairs, _pearson).withColumn("p", correlation_p("r", "n"))
 
 
 def spearman(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
@@ -78,7 +78,7 @@ def spearman(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     )
     rho = F.try_divide(F.col("ab"), F.sqrt("aa") * F.sqrt("bb"))
     return sums.select("x", "y", "n", F.when(F.col("n") >= 3, rho).alias("rho")).withColumn(
-        "p", correlation_p(F.col("rho"), F.col("n"))
+        "p", correlation_p("rho", "n")
     )
 
 
@@ -140,9 +140,11 @@ def line_bands(fits: DataFrame, points: int = 100, multiplier: float = 1.9599639
     for large samples.
     """
     step = (F.col("x_max") - F.col("x_min")) / (points - 1)
-    at = fits.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    at = at.withColumn("at", F.col("x_min") + F.col("point") * step)
-    fit = F.col("intercept") + F.col("slope") * F.col("at")
-    offset = F.col("at") - F.col("x_mean")
+    grid = fits.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    grid = grid.withColumn("x_value", F.col("x_min") + F.col("point") * step)
+    fit = F.col("intercept") + F.col("slope") * F.col("x_value")
+    offset = F.col("x_value") - F.col("x_mean")
     half = multiplier * F.col("residual_std") * F.sqrt(1 / F.col("n") + offset * offset / F.col("x_spread"))
-    return at.select("x", "y", "point", "at", fit.alias("fit"), (fit - half).alias("low"), (fit + half).alias("high"))
+    return grid.select(
+        "x", "y", "point", "x_value", fit.alias("fit"), (fit - half).alias("low"), (fit + half).alias("high")
+    )

@@ -133,7 +133,7 @@ def density(df: DataFrame, columns: Sequence[str], points: int = 1000) -> DataFr
     return grid.join(F.broadcast(sums), ["variable", "point"], "left").select(
         "variable",
         "point",
-        (F.col("start") + F.col("point") * F.col("step")).alias("at"),
+        (F.col("start") + F.col("point") * F.col("step")).alias("x_value"),
         (F.coalesce("kernels", F.lit(0.0)) / scale).alias("density"),
     )
 

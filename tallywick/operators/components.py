@@ -25,7 +25,7 @@ def vector_columns(df: DataFrame, column: str, size: int, prefix: str = "x") ->
 
 def fit_components(df: DataFrame, features: Sequence[str], k: int = 2, impute: bool = True) -> PipelineModel:
     """Standardisation (population std) followed by PCA on the centred columns."""
-    scaler = MedianScaler(features, impute=impute).fit(df)
+    scaler = MedianScaler(features, impute=None if impute else []).fit(df)
     pca = PCA(k=k, inputCol="features", outputCol="components").fit(scaler.transform(df))
     return PipelineModel(stages=[scaler, pca])
 
@@ -67,7 +67,7 @@ def loadings(spark: SparkSession, model: PipelineModel) -> DataFrame:
 
 def prepared(df: DataFrame, features: Sequence[str], keep: Sequence[str], impute: bool = True) -> DataFrame:
     """Standardised feature vectors with the columns to keep."""
-    return MedianScaler(features, impute=impute).fit(df).transform(df).select(*keep, "features")
+    return MedianScaler(features, impute=None if impute else []).fit(df).transform(df).select(*keep, "features")
 
 
 def best_clusters(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, rounds: int = 50) -> KMeansModel:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model
@@ -80,35 +81,50 @@ def with_fold(df: DataFrame, key: str, folds: int = 5, target: str = "fold") ->
     return df.withColumn(target, key_hash(F.col(key), folds))
 
 
+def columns_with_gaps(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns that have a missing value anywhere; one row comes back."""
+    gaps = df.agg(*[F.count_if(not_nan(F.col(c)).isNull()).alias(c) for c in columns]).first()
+    return [c for c in columns if gaps[c]]
+
+
 class MedianScaler(Estimator):
     """Imputes with the exact median, standardises, and assembles a vector.
 
     Unlike ``Imputer`` the median interpolates, and unlike ``StandardScaler``
     the spread is the population one.  As a pipeline stage it sees only the
-    rows the pipeline is fitted on.
+    rows the pipeline is fitted on.  ``impute`` lists the columns that may have
+    gaps; by default all of them may.
     """
 
-    def __init__(self, columns: Sequence[str], output: str = "features", impute: bool = True, scale: bool = True):
+    def __init__(self, columns: Sequence[str], output: str = "features", impute: Sequence[str] | None = None):
         super().__init__()
         self.columns = list(columns)
         self.output = output
-        self.impute = impute
-        self.scale = scale
+        self.impute = list(columns if impute is None else impute)
 
     def _fit(self, dataset: DataFrame) -> MedianScalerModel:
-        medians: dict[str, float] = {}
-        # each collect returns one row per column of the list
+        def measures(_: str, x: Column) -> list[Column]:
+            n = F.count(x)
+            return [n.alias("n"), (F.count(F.lit(1)) - n).alias("gaps"), F.avg(x).alias("mean"), F.var_pop(x).alias("spread")]
+
+        # both collects return one row per column of the list
+        found = per_column(dataset, self.columns, measures).collect()
+        medians = {}
         if self.impute:
-            medians = {r["variable"]: r["median"] for r in column_medians(dataset, self.columns).collect()}
-            for c in self.columns:
-                medians.setdefault(c, 0.0)  # a column without any value
-        filled = _filled(dataset, self.columns, medians)
-        found = per_column(
-            filled, self.columns, lambda _, x: [F.avg(x).alias("mean"), F.stddev_pop(x).alias("std")]
-        ).collect()
-        stats = {r["variable"]: (r["mean"] or 0.0, (r["std"] or 1.0) if self.scale else 1.0) for r in found}
-        if not self.scale:
-            stats = {c: (0.0, 1.0) for c in self.columns}
+            medians = {r["variable"]: r["median"] for r in column_medians(dataset, self.impute).collect()}
+        stats = {}
+        for r in found:
+            n, gaps, fill = r["n"], r["gaps"], medians.get(r["variable"], 0.0)
+            if n == 0:  # no value at all: every gap becomes 0
+                medians[r["variable"]] = 0.0
+                stats[r["variable"]] = (0.0, 1.0)
+                continue
+            if r["variable"] not in medians:
+                gaps = 0
+            # mean and variance of the filled column follow from those of the values
+            mean = (n * r["mean"] + gaps * fill) / (n + gaps)
+            spread = (n * (r["spread"] + (r["mean"] - mean) ** 2) + gaps * (fill - mean) ** 2) / (n + gaps)
+            stats[r["variable"]] = (mean, math.sqrt(spread) or 1.0)
         return MedianScalerModel(self.columns, self.output, medians, stats)
 
 
@@ -130,8 +146,3 @@ class MedianScalerModel(Model):
 
         return dataset.withColumn(self.output, array_to_vector(F.array(*map(scaled, self.columns))))
 
-
-def _filled(df: DataFrame, columns: Sequence[str], medians: Mapping[str, float]) -> DataFrame:
-    return df.select(
-        *[F.coalesce(not_nan(F.col(c)), F.lit(medians[c])).alias(c) if c in medians else F.col(c) for c in columns]
-    )

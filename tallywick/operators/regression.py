@@ -16,7 +16,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywick.operators.features import MedianScaler, split_by_key, with_fold
+from tallywick.operators.features import MedianScaler, columns_with_gaps, split_by_key, with_fold
 
 
 def linear_model(target: str) -> LinearRegression:
@@ -36,8 +36,8 @@ def forest_model(target: str, trees: int = 500, depth: int = 30, bins: int = 32,
     )
 
 
-def pipeline(features: Sequence[str], estimator: Estimator) -> Pipeline:
-    return Pipeline(stages=[MedianScaler(features), estimator])
+def pipeline(features: Sequence[str], estimator: Estimator, impute: Sequence[str] | None = None) -> Pipeline:
+    return Pipeline(stages=[MedianScaler(features, impute=impute), estimator])
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -86,9 +86,10 @@ def fold_scores(
     """R2 of every fold; each fold is scored by a model fitted on the others."""
     rows = with_fold(df.select(key, target, *features).na.drop(subset=[target]), key, folds)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    gaps = columns_with_gaps(rows, features)  # the models are not used on other tables
     tables = []
     for fold in range(folds):
-        model = pipeline(features, estimator).fit(rows.where(F.col("fold") != fold))
+        model = pipeline(features, estimator, gaps).fit(rows.where(F.col("fold") != fold))
         scores = regression_metrics(model.transform(rows.where(F.col("fold") == fold)), target, "prediction")
         tables.append(scores.select(F.lit(fold).alias("fold"), "n", "r2"))
     return reduce(lambda a, b: a.unionByName(b), tables)
@@ -115,12 +116,13 @@ def grid_search(
     per setting with its mean and standard deviation of R2 over the folds.
     """
     rows = with_fold(df.select(key, target, *features).na.drop(subset=[target]), key, folds)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), list(values))
     settings = builder.build()
     search = CrossValidator(
-        estimator=pipeline(features, estimator),
+        estimator=pipeline(features, estimator, columns_with_gaps(rows, features)),
         estimatorParamMaps=settings,
         evaluator=RegressionEvaluator(labelCol=target, metricName="r2"),
         numFolds=folds,
@@ -134,14 +136,16 @@ def grid_search(
             *[str(setting[estimator.getParam(name)]) for name in grid],
             float(mean),
             float(std),
-            mean == best,
+            bool(mean == best),
         )
         for setting, mean, std in zip(settings, found.avgMetrics, found.stdMetrics)
     ]
     names = [*grid, "mean_r2", "std_r2", "best"]
     types = ["string"] * len(grid) + ["double", "double", "boolean"]
     schema = ", ".join(f"`{n}` {t}" for n, t in zip(names, types))
-    return found.bestModel, df.sparkSession.createDataFrame(table, schema)
+    # same scaling, but with a fill value for every column of tables to come
+    model = PipelineModel(stages=[MedianScaler(features).fit(rows), found.bestModel.stages[-1]])
+    return model, df.sparkSession.createDataFrame(table, schema)
 
 
 def importances(spark: SparkSession, model: Model, features: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywick.functions.tails import chi2_upper, f_upper, t_two_sided
+from tallywick.functions.tails import chi2_upper, f_upper
 from tallywick.functions.values import finite
 
 RESULT_COLUMNS = ["test", "kind", "n", "statistic", "dof", "dof2", "p", "effect", "effect_name", "notes"]
@@ -90,7 +90,7 @@ def chi_square(
         .select(
             "x", "y", "n", "statistic",
             F.when(F.col("dof") >= 1, F.col("dof")).alias("dof"),
-            chi2_upper(F.col("statistic"), F.col("dof")).alias("p"),
+            chi2_upper("statistic", "dof").alias("p"),
             F.sqrt(F.col("statistic") / F.col("n") / shorter).alias("cramers_v"),
             smallest.alias("min_expected"),
             (smallest < low_expected).alias("low_expected"),
@@ -172,8 +172,11 @@ def mean_tests(df: DataFrame, tests: Sequence[tuple[str, str, str]]) -> DataFram
         .withColumn("dof", F.when(two, welch_dof).when(more, df_between))
         .withColumn("dof2", F.when(more, df_within))
     )
-    p = F.when(two, t_two_sided(F.col("statistic"), F.col("dof"))).when(
-        more, f_upper(F.col("statistic"), F.col("dof"), F.col("dof2"))
+    # the square of Welch's t is an F with one degree of freedom in front
+    p = f_upper(
+        "if(kind = 'welch', statistic * statistic, statistic)",
+        "if(kind = 'welch', 1D, dof)",
+        "if(kind = 'welch', dof, dof2)",
     )
     return chosen.select(
         "test", "kind", "groups", "n", "statistic", "dof", "dof2",
