@@ -21,8 +21,13 @@ def not_nan(col: Column) -> Column:
 
 
 def to_integer(col: Column) -> Column:
-    """Nullable integer: text that is no number becomes NULL, fractions round down."""
-    return F.floor(to_float(col))
+    """Nullable integer: what is no number becomes NULL, fractions round down.
+
+    Whole numbers are read directly, so that long keys keep all their digits.
+    """
+    number = to_float(col)
+    rounded = F.when(F.abs(number) < 9.0e18, F.floor(number))
+    return F.coalesce(col.cast("string").try_cast("bigint"), rounded)
 
 
 def to_float(col: Column) -> Column:
@@ -35,6 +40,11 @@ def clean_name(col: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(col)), r"\s+", " ")
 
 
+def slug(col: Column) -> Column:
+    """A name as a plain identifier: lower case, runs of other characters as one underscore."""
+    return F.regexp_replace(F.lower(F.trim(col)), "[^a-z0-9]+", "_")
+
+
 def labelled(col: Column, labels: Mapping) -> Column:
     """Label of a code; a code without label gives NULL."""
     pairs = [F.lit(part) for pair in labels.items() for part in pair]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallywick.functions.tails import correlation_p
 from tallywick.functions.values import not_nan
 from tallywick.operators.ranking import average_ranks
+from tallywick.operators.shaping import listed
 
 Pair = tuple[str, str]
 
@@ -33,8 +34,10 @@ def _per_pair(df: DataFrame, pairs: Sequence[Pair], measures) -> DataFrame:
 
 def _pearson(a: Column, b: Column) -> list[Column]:
     varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
+    # corr() raises for a constant in ANSI mode, so the quotient is written out;
     # rounding can carry a perfect correlation a little beyond one
-    bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.corr(a, b)))
+    r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
     return [F.count(a).alias("n"), F.when((F.count(a) >= 3) & varies, bounded).alias("r")]
 
 
@@ -77,9 +80,9 @@ def spearman(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
         F.sum(F.col("c") * db * db).alias("bb"),
     )
     rho = F.try_divide(F.col("ab"), F.sqrt("aa") * F.sqrt("bb"))
-    return sums.select("x", "y", "n", F.when(F.col("n") >= 3, rho).alias("rho")).withColumn(
-        "p", correlation_p("rho", "n")
-    )
+    asked = listed(df.sparkSession, ["x", "y"], pairs).join(F.broadcast(sums), ["x", "y"], "left")
+    rows = asked.select("x", "y", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n") >= 3, rho).alias("rho"))
+    return rows.withColumn("p", correlation_p("rho", "n"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -117,15 +120,16 @@ def line_fits(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
 
     def measures(a: Column, b: Column) -> list[Column]:
         n = F.count(a)
-        unexplained = F.regr_syy(b, a) - F.regr_sxy(b, a) * F.regr_sxy(b, a) / F.nullif(F.regr_sxx(b, a), F.lit(0.0))
+        spread = F.regr_sxx(b, a)
+        unexplained = F.regr_syy(b, a) - F.regr_sxy(b, a) * F.try_divide(F.regr_sxy(b, a), spread)
         return [
             n.alias("n"),
             F.regr_slope(b, a).alias("slope"),
             F.regr_intercept(b, a).alias("intercept"),
             F.regr_r2(b, a).alias("r2"),
-            F.when(n > 2, F.sqrt(F.greatest(unexplained, F.lit(0.0)) / (n - 2))).alias("residual_std"),
+            F.when((n > 2) & (spread > 0), F.sqrt(F.greatest(unexplained, F.lit(0.0)) / (n - 2))).alias("residual_std"),
             F.avg(a).alias("x_mean"),
-            F.regr_sxx(b, a).alias("x_spread"),
+            spread.alias("x_spread"),
             F.min(a).alias("x_min"),
             F.max(a).alias("x_max"),
         ]

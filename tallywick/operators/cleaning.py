@@ -9,8 +9,8 @@ removal of duplicates.  Three kinds of rule::
     {"name": ..., "any": [[{"column": "a", "equals": 0}, {"column": "b", "differs": 1}]],
      "action": "drop"}
 
-A missing value breaks no rule; with ``"nulls": "drop"`` a missing value breaks
-a range rule.  ``any`` is a list of conjunctions.  ``"action": "null"`` clears
+A missing value breaks no rule; with ``"nulls": "drop"`` it breaks the rule of
+its column.  ``any`` is a list of conjunctions.  ``"action": "null"`` clears
 the rule's column, or the columns listed under ``clear``.
 """
 

@@ -2,32 +2,47 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywick.operators.features import MedianScaler
 
 
-def vector_columns(df: DataFrame, column: str, size: int, prefix: str = "x") -> tuple[DataFrame, list[str]]:
-    """The elements of an array column as columns of their own."""
-    names = [f"{prefix}{i}" for i in range(size)]
-    elements = {name: F.get(F.col(column), F.lit(i)).cast("double") for i, name in enumerate(names)}
-    return df.withColumns(elements), names
+def fit_column_scaler(df: DataFrame, features: Sequence[str]) -> list[Model]:
+    """Imputation and population scaling of single columns, as pipeline stages."""
+    return [MedianScaler(features).fit(df)]
 
 
-def fit_components(df: DataFrame, features: Sequence[str], k: int = 2, impute: bool = True) -> PipelineModel:
-    """Standardisation (population std) followed by PCA on the centred columns."""
-    scaler = MedianScaler(features, impute=None if impute else []).fit(df)
+def fit_vector_scaler(df: DataFrame, vector: str) -> list[Model]:
+    """Population scaling of a vector column without missing values, as pipeline stages.
+
+    Spark divides by the sample standard deviation; the constant product turns
+    that into the population one.
+    """
+    n = df.count()
+    scaler = StandardScaler(inputCol=vector, outputCol="centred", withMean=True).fit(df)
+    factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
+    product = ElementwiseProduct(
+        scalingVec=Vectors.dense([factor] * scaler.mean.size), inputCol="centred", outputCol="features"
+    )
+    return [scaler, product]
+
+
+def fit_components(df: DataFrame, scaling: Sequence[Model], k: int = 2) -> PipelineModel:
+    """PCA on the centred and scaled features."""
+    scaler = PipelineModel(stages=list(scaling))
     pca = PCA(k=k, inputCol="features", outputCol="components").fit(scaler.transform(df))
-    return PipelineModel(stages=[scaler, pca])
+    return PipelineModel(stages=[*scaling, pca])
 
 
 def _signs(model: PipelineModel) -> list[float]:
@@ -53,9 +68,8 @@ def explained_variance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame(rows, "component int, share double, running double")
 
 
-def loadings(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def loadings(spark: SparkSession, model: PipelineModel, names: Sequence[str]) -> DataFrame:
     """Weight of every variable in every component, in long form."""
-    names = model.stages[0].columns
     matrix = model.stages[-1].pc.toArray()
     rows = [
         (i + 1, name, float(matrix[j][i]) * sign)
@@ -65,14 +79,18 @@ def loadings(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame(rows, "component int, variable string, loading double")
 
 
-def prepared(df: DataFrame, features: Sequence[str], keep: Sequence[str], impute: bool = True) -> DataFrame:
+def prepared(df: DataFrame, scaling: Sequence[Model], keep: Sequence[str]) -> DataFrame:
     """Standardised feature vectors with the columns to keep."""
-    return MedianScaler(features, impute=None if impute else []).fit(df).transform(df).select(*keep, "features")
+    return PipelineModel(stages=list(scaling)).transform(df).select(*keep, "features")
 
 
 def best_clusters(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, rounds: int = 50) -> KMeansModel:
     """K-means with several seeds; the fit with the lowest inertia wins."""
+    cached = vectors.is_cached
+    vectors = vectors if cached else vectors.persist(StorageLevel.MEMORY_AND_DISK)
     fits = [KMeans(k=k, seed=seed + i, maxIter=rounds, tol=1e-6).fit(vectors) for i in range(restarts)]
+    if not cached:
+        vectors.unpersist()
     return min(fits, key=lambda fit: fit.summary.trainingCost)
 
 

@@ -53,6 +53,13 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return sums.select("n", "mae", F.sqrt("mse").alias("rmse"), (1 - F.try_divide("mse", "spread")).alias("r2"))
 
 
+def _settled(table: DataFrame, source: DataFrame) -> DataFrame:
+    """A table of a few result rows, computed now so that its cached source can go."""
+    rows = table.collect()
+    source.unpersist()
+    return table.sparkSession.createDataFrame(rows, table.schema)
+
+
 def train(
     df: DataFrame,
     key: str,
@@ -77,7 +84,8 @@ def train(
         models[name] = PipelineModel(stages=[scaler, fitted])
         scores = regression_metrics(models[name].transform(holdout), target, "prediction")
         tables.append(scores.select(F.lit(target).alias("target"), F.lit(name).alias("model"), "*"))
-    return models, reduce(lambda a, b: a.unionByName(b), tables)
+    # one row per estimator
+    return models, _settled(reduce(lambda a, b: a.unionByName(b), tables), rows)
 
 
 def fold_scores(
@@ -92,7 +100,7 @@ def fold_scores(
         model = pipeline(features, estimator, gaps).fit(rows.where(F.col("fold") != fold))
         scores = regression_metrics(model.transform(rows.where(F.col("fold") == fold)), target, "prediction")
         tables.append(scores.select(F.lit(fold).alias("fold"), "n", "r2"))
-    return reduce(lambda a, b: a.unionByName(b), tables)
+    return _settled(reduce(lambda a, b: a.unionByName(b), tables), rows)  # one row per fold
 
 
 def fold_summary(scores: DataFrame) -> DataFrame:
@@ -145,6 +153,7 @@ def grid_search(
     schema = ", ".join(f"`{n}` {t}" for n, t in zip(names, types))
     # same scaling, but with a fill value for every column of tables to come
     model = PipelineModel(stages=[MedianScaler(features).fit(rows), found.bestModel.stages[-1]])
+    rows.unpersist()
     return model, df.sparkSession.createDataFrame(table, schema)
 
 

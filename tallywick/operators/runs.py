@@ -24,3 +24,14 @@ def run_facts(before: DataFrame, after: DataFrame, outputs: Sequence[str], alpha
         F.array(*map(F.lit, outputs)).alias("outputs"),
         F.lit(alpha).alias("alpha"),
     )
+
+
+def as_json(df: DataFrame, name: str = "json") -> DataFrame:
+    """Every row as one JSON object, missing values included."""
+    whole = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    return df.select(whole.alias(name))
+
+
+def from_json_rows(df: DataFrame, name: str, schema) -> DataFrame:
+    """The rows that JSON objects describe."""
+    return df.select(F.from_json(F.col(name), schema).alias("row")).select("row.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywick.functions.values import row_mean
@@ -90,3 +90,9 @@ def stacked_parts(parts: Mapping[str, DataFrame], tag: str) -> DataFrame:
     for part in tagged[1:]:
         result = result.unionByName(part)
     return result
+
+
+def listed(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence]) -> DataFrame:
+    """A few given rows as a table, for results that must have one row per request."""
+    structs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

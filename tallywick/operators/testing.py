@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywick.functions.tails import chi2_upper, f_upper
 from tallywick.functions.values import finite
+from tallywick.operators.grouping import with_margin
+from tallywick.operators.shaping import listed
 
 RESULT_COLUMNS = ["test", "kind", "n", "statistic", "dof", "dof2", "p", "effect", "effect_name", "notes"]
 
@@ -33,11 +35,9 @@ def pair_cells(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 def with_expected(cells: DataFrame) -> DataFrame:
     """Adds both margins, the total and the expected count to crosstab cells."""
-    rows = F.sum("n").over(Window.partitionBy("x", "y", "a"))
-    cols = F.sum("n").over(Window.partitionBy("x", "y", "b"))
     totals = cells.groupBy("x", "y").agg(F.sum("n").alias("total"))
-    # one row per listed pair
-    placed = cells.withColumn("row_n", rows).withColumn("col_n", cols).join(F.broadcast(totals), ["x", "y"])
+    placed = with_margin(with_margin(cells, ["x", "y", "a"], "row_n"), ["x", "y", "b"], "col_n")
+    placed = placed.join(F.broadcast(totals), ["x", "y"])  # one row per listed pair
     return placed.withColumn("expected", F.col("row_n") * (F.col("col_n") / F.col("total")))
 
 
@@ -84,26 +84,27 @@ def chi_square(
     chosen = F.when((F.col("dof") == 1) & F.lit(correction), yates).otherwise(plain)
     shorter = F.greatest(F.least(F.col("rows") - 1, F.col("cols") - 1), F.lit(1))
     smallest = F.col("row_min") * (F.col("col_min") / F.col("n"))
+    asked = listed(df.sparkSession, ["x", "y"], pairs)
     return (
-        sums.withColumn("dof", dof)
+        asked.join(F.broadcast(sums), ["x", "y"], "left")  # one row per listed pair
+        .withColumn("dof", dof)
         .withColumn("statistic", F.when(F.col("dof") >= 1, chosen))
         .select(
-            "x", "y", "n", "statistic",
+            "x", "y", F.coalesce("n", F.lit(0)).alias("n"), "statistic",
             F.when(F.col("dof") >= 1, F.col("dof")).alias("dof"),
             chi2_upper("statistic", "dof").alias("p"),
             F.sqrt(F.col("statistic") / F.col("n") / shorter).alias("cramers_v"),
             smallest.alias("min_expected"),
-            (smallest < low_expected).alias("low_expected"),
+            F.coalesce(smallest < low_expected, F.lit(True)).alias("low_expected"),
         )
     )
 
 
 def expected_counts(grid: DataFrame, x: str, y: str) -> DataFrame:
     """Expected count of every cell of a full crosstab ``(x, y, n)``."""
-    rows = F.sum("n").over(Window.partitionBy(x))
-    cols = F.sum("n").over(Window.partitionBy(y))
     total = grid.agg(F.sum("n")).scalar()
-    return grid.withColumn("expected", rows * (cols / total))
+    placed = with_margin(with_margin(grid, [x], "row_n"), [y], "col_n")
+    return placed.withColumn("expected", F.col("row_n") * (F.col("col_n") / total)).drop("row_n", "col_n")
 
 
 def group_statistics(df: DataFrame, tests: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -166,8 +167,12 @@ def mean_tests(df: DataFrame, tests: Sequence[tuple[str, str, str]]) -> DataFram
     more = (F.col("groups") >= 3) & (F.col("n") > F.col("groups"))
     kind = F.when(two, F.lit("welch")).when(more, F.lit("anova")).otherwise(F.lit("none"))
     eta = F.try_divide(F.col("statistic") * df_between, F.col("statistic") * df_between + df_within)
+    asked = listed(df.sparkSession, ["test"], [(test,) for test, _, _ in tests])
     chosen = (
-        sums.withColumn("kind", kind)
+        asked.join(F.broadcast(sums), "test", "left")
+        .withColumn("groups", F.coalesce("groups", F.lit(0)))
+        .withColumn("n", F.coalesce("n", F.lit(0)))
+        .withColumn("kind", kind)
         .withColumn("statistic", F.when(two, t).when(more, ratio))
         .withColumn("dof", F.when(two, welch_dof).when(more, df_between))
         .withColumn("dof2", F.when(more, df_within))

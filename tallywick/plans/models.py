@@ -180,6 +180,29 @@ def importances(spark, folder):
     return reg.importances(spark, models["forest"], FEATURES)
 
 
+@query("importances_compared")
+def importances_compared(spark, folder):
+    """What matters for two targets, side by side."""
+    lines = _lines(spark, folder).withColumn("revenue", F.col(TARGET) * (1 - F.col("l_discount")))
+    sides = []
+    for target in (TARGET, "revenue"):
+        models, _ = reg.train(lines, "line", FEATURES, target, {"forest": _small_forest(target, depth=4)})
+        sides.append(reg.importances(spark, models["forest"], FEATURES))
+    return compared(*sides, "feature", ("_price", "_revenue"))
+
+
+@query(
+    "scored_table_linear",
+    f"""{SPLIT_SQL} SELECT c_custkey, round(a + b1 * size + b2 * price, 4) AS prediction FROM s, fit""",
+)
+def scored_table_linear(spark, folder):
+    """A model trained on a part of the table, applied to all of it."""
+    customers = _customers(spark, folder)
+    models, _ = reg.train(customers, "c_custkey", TWO, TWO_TARGET, {"linear": reg.linear_model(TWO_TARGET)})
+    rows = reg.scored(models["linear"], customers, ["c_custkey"])
+    return rows.select("c_custkey", F.round("prediction", 4).alias("prediction"))
+
+
 @query("scored_table")
 def scored_table(spark, folder):
     lines = _lines(spark, folder)
@@ -197,6 +220,10 @@ PAIR_SQL = f"""
 PAIR = ["size", "acctbal"]
 
 
+def _pair_components(customers):
+    return comp.fit_components(customers, comp.fit_column_scaler(customers, PAIR))
+
+
 @query(
     "component_scores",
     steady_query(
@@ -207,7 +234,7 @@ PAIR = ["size", "acctbal"]
 )
 def component_scores(spark, folder):
     customers = _customers(spark, folder)
-    return steady(comp.component_scores(comp.fit_components(customers, PAIR), customers, ["c_custkey"]))
+    return steady(comp.component_scores(_pair_components(customers), customers, ["c_custkey"]))
 
 
 @query(
@@ -220,7 +247,7 @@ def component_scores(spark, folder):
     ),
 )
 def explained_variance(spark, folder):
-    return steady(comp.explained_variance(spark, comp.fit_components(_customers(spark, folder), PAIR)))
+    return steady(comp.explained_variance(spark, _pair_components(_customers(spark, folder))))
 
 
 @query(
@@ -230,40 +257,41 @@ def explained_variance(spark, folder):
        WHERE (SELECT count(*) FROM customer) > 0""",
 )
 def loadings(spark, folder):
-    return steady(comp.loadings(spark, comp.fit_components(_customers(spark, folder), PAIR)))
-
-
-SIZE = 64  # the embeddings table's vector length
+    return steady(comp.loadings(spark, _pair_components(_customers(spark, folder)), PAIR))
 
 
 def _vectors(spark, folder):
-    rows, names = comp.vector_columns(table(spark, folder, "embeddings"), "embedding", SIZE)
-    return rows, names
+    """The embeddings as vectors, and the fitted stages that scale them."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "label", comp.as_vector(F.col("embedding")).alias("v"))
+    return rows, comp.fit_vector_scaler(rows, "v")
 
 
 @query("embedding_components")
 def embedding_components(spark, folder):
-    rows, names = _vectors(spark, folder)
-    return comp.component_scores(comp.fit_components(rows, names, impute=False), rows, ["vec_id"])
+    rows, scaling = _vectors(spark, folder)
+    return comp.component_scores(comp.fit_components(rows, scaling), rows, ["vec_id"])
 
 
 @query("embedding_explained_variance")
 def embedding_explained_variance(spark, folder):
-    rows, names = _vectors(spark, folder)
-    return comp.explained_variance(spark, comp.fit_components(rows, names, impute=False))
+    return comp.explained_variance(spark, comp.fit_components(*_vectors(spark, folder)))
+
+
+@query("embedding_loadings")
+def embedding_loadings(spark, folder):
+    model = comp.fit_components(*_vectors(spark, folder))
+    return comp.loadings(spark, model, [f"x{i}" for i in range(model.stages[-1].pc.numRows)])
 
 
 @query("clusters")
 def clusters(spark, folder):
-    rows, names = _vectors(spark, folder)
-    vectors = comp.prepared(rows, names, ["vec_id"], impute=False)
+    vectors = comp.prepared(*_vectors(spark, folder), ["vec_id"])
     return comp.assigned(comp.best_clusters(vectors, 3, restarts=3), vectors, ["vec_id"])
 
 
 @query("cluster_sweep")
 def cluster_sweep(spark, folder):
-    rows, names = _vectors(spark, folder)
-    return comp.cluster_sweep(comp.prepared(rows, names, ["vec_id"], impute=False), restarts=2)
+    return comp.cluster_sweep(comp.prepared(*_vectors(spark, folder), ["vec_id"]), restarts=2)
 
 
 @query(
@@ -293,14 +321,15 @@ def silhouette_of_labels(spark, folder):
     ),
 )
 def cluster_profiles(spark, folder):
-    rows, _ = _vectors(spark, folder)
-    return steady(group_means(rows, "label", ["x0", "x1", "x63"]))
+    rows = table(spark, folder, "embeddings")
+    chosen = {f"x{i}": F.get("embedding", F.lit(i)).cast("double") for i in (0, 1, 63)}
+    return steady(group_means(rows.withColumns(chosen), "label", list(chosen)))
 
 
 @query("cluster_export")
 def cluster_export(spark, folder):
-    rows, names = _vectors(spark, folder)
-    scores = comp.component_scores(comp.fit_components(rows, names, impute=False), rows, ["vec_id"])
-    vectors = comp.prepared(rows, names, ["vec_id"], impute=False)
+    rows, scaling = _vectors(spark, folder)
+    scores = comp.component_scores(comp.fit_components(rows, scaling), rows, ["vec_id"])
+    vectors = comp.prepared(rows, scaling, ["vec_id"])
     found = comp.assigned(comp.best_clusters(vectors, 3, restarts=3), vectors, ["vec_id"])
     return comp.cluster_export(scores, found, "vec_id")

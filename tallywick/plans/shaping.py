@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tallywick.functions.values import slug
 from tallywick.operators import shaping as ops
 from tallywick.plans.registry import LINEITEM_WITH_GAPS, lineitem_with_gaps, query, steady, steady_query
 from tallywick.sources.files import table
@@ -168,3 +169,13 @@ def distinct_groups(spark, folder):
 def first_rows(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
     return ops.first_rows(orders, [F.desc("o_totalprice"), "o_orderkey"], 10)
+
+
+@query(
+    "name_slugs",
+    """SELECT p_name || ' ' || p_brand AS pair, regexp_replace(lower(trim(p_name || ' ' || p_brand)), '[^a-z0-9]+', '_', 'g')
+           AS slug, count(*) AS n FROM part GROUP BY ALL""",
+)
+def name_slugs(spark, folder):
+    pairs = table(spark, folder, "part").select(F.concat_ws(" ", "p_name", "p_brand").alias("pair"))
+    return pairs.groupBy("pair", slug(F.col("pair")).alias("slug")).agg(F.count(F.lit(1)).alias("n"))

@@ -17,6 +17,12 @@ def _integral(upper: str, density: str) -> str:
     )
 
 
+def _power(exponent: str, dof: str) -> str:
+    """``exp(exponent) * u ** (dof - 1)``, also at u = 0."""
+    at_zero = f"CASE WHEN {dof} = 1 THEN exp({exponent}) ELSE 0 END"
+    return f"CASE WHEN u = 0 THEN {at_zero} ELSE exp({exponent} + ({dof} - 1) * ln(u)) END"
+
+
 def t_two_sided(t: str, dof: str) -> str:
     scale = f"exp(lgamma(({dof} + 1) / 2.0) - lgamma({dof} / 2.0)) / sqrt({dof} * pi())"
     inner = _integral(f"abs({t})", f"exp(-({dof} + 1) / 2.0 * ln(1 + u * u / {dof}))")
@@ -24,17 +30,15 @@ def t_two_sided(t: str, dof: str) -> str:
 
 
 def chi2_upper(x: str, dof: str) -> str:
-    scale = f"2 * exp(-({dof} / 2.0) * ln(2.0) - lgamma({dof} / 2.0))"
-    inner = _integral(f"sqrt({x})", f"pow(u, {dof} - 1) * exp(-u * u / 2)")
-    return f"(1 - ({scale}) * {inner})"
+    # the whole density in one exponential: its parts overflow when dof is large
+    scale = f"-({dof} / 2.0) * ln(2.0) - lgamma({dof} / 2.0)"
+    return f"(1 - 2 * {_integral(f'sqrt({x})', _power(f'{scale} - u * u / 2', dof))})"
 
 
 def f_upper(f: str, dof1: str, dof2: str) -> str:
     scale = (
-        f"2 * exp(lgamma(({dof1} + {dof2}) / 2.0) - lgamma({dof1} / 2.0) - lgamma({dof2} / 2.0) "
-        f"+ {dof1} / 2.0 * ln({dof1} / {dof2}))"
-    )
-    inner = _integral(
-        f"sqrt({f})", f"pow(u, {dof1} - 1) * exp(-({dof1} + {dof2}) / 2.0 * ln(1 + {dof1} * u * u / {dof2}))"
+        f"lgamma(({dof1} + {dof2}) / 2.0) - lgamma({dof1} / 2.0) - lgamma({dof2} / 2.0) "
+        f"+ {dof1} / 2.0 * ln({dof1} / {dof2})"
     )
-    return f"(1 - ({scale}) * {inner})"
+    decay = f"-({dof1} + {dof2}) / 2.0 * ln(1 + {dof1} * u * u / {dof2})"
+    return f"(1 - 2 * {_integral(f'sqrt({f})', _power(f'{scale} {decay}', dof1))})"

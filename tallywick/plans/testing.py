@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tallywick.operators import testing as ops
 from tallywick.operators.grouping import full_crosstab
+from tallywick.operators.runs import as_json, from_json_rows
 from tallywick.plans import tails_sql
 from tallywick.plans.registry import query, steady, steady_query
 from tallywick.sources.files import table
@@ -195,4 +196,18 @@ def test_report(spark, folder):
     return steady(report.drop("notes"))
 
 
+@query(
+    "results_through_json",
+    steady_query(
+        _anova_sql("price by status", "o_totalprice", "o_orderstatus", "orders"),
+        ["test", "kind", "groups", "n", "effect_name"],
+        ["statistic", "dof", "dof2", "p", "effect"],
+    ),
+)
+def results_through_json(spark, folder):
+    """Test results written as JSON objects and read back."""
+    results = ops.mean_tests(_orders(spark, folder), TESTS[:1])
+    return steady(from_json_rows(as_json(results), "json", results.schema))
+
+
 test_report.__test__ = False
