@@ -33,12 +33,11 @@ def _per_pair(df: DataFrame, pairs: Sequence[Pair], measures) -> DataFrame:
 
 
 def _pearson(a: Column, b: Column) -> list[Column]:
-    varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
     # corr() raises for a constant in ANSI mode, so the quotient is written out;
     # rounding can carry a perfect correlation a little beyond one
     r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-    bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
-    return [F.count(a).alias("n"), F.when((F.count(a) >= 3) & varies, bounded).alias("r")]
+    bounded = F.when(r > 1, F.lit(1.0)).when(r < -1, F.lit(-1.0)).otherwise(r)
+    return [F.count(a).alias("n"), F.when(F.count(a) >= 3, bounded).alias("r")]
 
 
 def pearson(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
@@ -58,7 +57,7 @@ def spearman(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
         rows.append(F.struct(F.lit(pair[0]).alias("x"), F.lit(pair[1]).alias("y"), a.alias("a"), b.alias("b")))
     cells = (
         df.select(F.inline(F.array(*rows)))
-        .where(F.col("a").isNotNull())
+        .where(F.col("a").isNotNull() & F.col("b").isNotNull())
         .groupBy("x", "y", "a", "b")
         .agg(F.count(F.lit(1)).alias("c"))
     )
@@ -119,17 +118,18 @@ def line_fits(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     """
 
     def measures(a: Column, b: Column) -> list[Column]:
-        n = F.count(a)
-        spread = F.regr_sxx(b, a)
-        unexplained = F.regr_syy(b, a) - F.regr_sxy(b, a) * F.try_divide(F.regr_sxy(b, a), spread)
+        n, va, vb = F.count(a), F.var_pop(a), F.var_pop(b)
+        slope = F.when(va > 0, F.covar_pop(a, b) / F.nullif(va, F.lit(0.0)))
+        explained = F.when(vb == 0, F.lit(1.0)).otherwise(slope * F.try_divide(F.covar_pop(a, b), vb))
+        residual = n * F.greatest(vb - slope * F.covar_pop(a, b), F.lit(0.0))
         return [
             n.alias("n"),
-            F.regr_slope(b, a).alias("slope"),
-            F.regr_intercept(b, a).alias("intercept"),
-            F.regr_r2(b, a).alias("r2"),
-            F.when((n > 2) & (spread > 0), F.sqrt(F.greatest(unexplained, F.lit(0.0)) / (n - 2))).alias("residual_std"),
+            slope.alias("slope"),
+            (F.avg(b) - slope * F.avg(a)).alias("intercept"),
+            F.when(va > 0, explained).alias("r2"),
+            F.when((n > 2) & (va > 0), F.sqrt(residual / F.nullif(n - 2, F.lit(0)))).alias("residual_std"),
             F.avg(a).alias("x_mean"),
-            spread.alias("x_spread"),
+            (n * va).alias("x_spread"),
             F.min(a).alias("x_min"),
             F.max(a).alias("x_max"),
         ]

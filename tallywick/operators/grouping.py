@@ -33,21 +33,25 @@ def full_crosstab(df: DataFrame, x: str, y: str, y_values: Sequence) -> DataFram
     return wide.na.fill(0, subset=names).unpivot([x], names, y, "n")
 
 
-def with_margin(cells: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Adds the sum of ``n`` over the cells that share the given keys, NULLs being equal.
+def with_margins(cells: DataFrame, margins: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Adds the sums of ``n`` over the cells that share some keys, NULLs being equal.
 
-    Margins are added up and joined back: a window would hold all cells of a
-    frequent category in one task.
+    ``margins`` maps the name of a sum to its keys.  Margins are added up and
+    joined back: a window would hold all cells of a frequent category in one
+    task.
     """
-    margin = cells.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.sum("n").alias(name))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return cells.join(margin, same).drop(*[f"_{k}" for k in keys])
+    placed = cells
+    for name, keys in margins.items():
+        margin = cells.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.sum("n").alias(name))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        placed = placed.join(margin, same).drop(*[f"_{k}" for k in keys])
+    return placed
 
 
 def row_percent(cells: DataFrame, x: str, digits: int | None = None) -> DataFrame:
     """Share of every cell in its row, NULL for an empty row."""
     percent = F.try_divide(100.0 * F.col("n"), F.col("row_n"))
-    placed = with_margin(cells, [x], "row_n")
+    placed = with_margins(cells, {"row_n": [x]})
     return placed.withColumn("percent", percent if digits is None else F.round(percent, digits)).drop("row_n")
 
 

@@ -32,10 +32,19 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str = "value") ->
     return present.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def smallest_mode(counts: DataFrame, groups: Sequence[str], value: str = "value") -> DataFrame:
-    """Most frequent value of every group, the smallest one on ties."""
-    best = F.max_by(value, F.struct(F.col("n"), -F.col(value)))
-    return counts.groupBy(*groups).agg(best.alias("mode"))
+def smallest_mode(counts: DataFrame, groups: Sequence[str], value: str = "value", small: bool = True) -> DataFrame:
+    """Most frequent value of every group, the smallest one on ties.
+
+    Two hash aggregations of the counts; picking a whole record per group would
+    sort them.  ``small`` states that the number of groups is bounded.
+    """
+    most = counts.groupBy(*groups).agg(F.max("n").alias("most"))
+    return (
+        counts.join(broadcast_if(most, small), list(groups))
+        .where(F.col("n") == F.col("most"))
+        .groupBy(*groups)
+        .agg(F.min(value).alias("mode"))
+    )
 
 
 def _wanted(probabilities: Sequence[float], total: Column) -> Column:
@@ -67,7 +76,7 @@ def quantiles(
     """Exact quantiles with linear interpolation, one row per group.
 
     ``probabilities`` maps output names to shares.  ``weight`` names a column of
-    repeat counts.  ``small`` states that the number of groups is bounded by
+    repeat counts, as in :func:`value_counts`, whose values are never missing.  ``small`` states that the number of groups is bounded by
     construction (a fixed list of variables); otherwise it is counted first, and
     the few wanted buckets are broadcast only below the limit.
     Rows whose group key is NULL are left out.
@@ -78,7 +87,11 @@ def quantiles(
         *groups,
         not_nan(F.col(value)).alias("v"),
         (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("w"),
-    ).dropna(subset=[*groups, "v"])
+    )
+    for key in groups:
+        source = source.where(F.col(key).isNotNull())
+    if weight is None:  # counted values are present already
+        source = source.where(F.col("v").isNotNull())
     if small is None:
         small = few_groups(source, groups)
     source = source.withColumn("fine", fine_bucket(F.col("v"))).withColumn(

@@ -68,13 +68,17 @@ def train(
     estimators: Mapping[str, Estimator],
     percent: int = 80,
     leaky: bool = False,
+    spread: bool = False,
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fits every estimator on the training part and scores it on the rest.
 
     Returns the fitted models and one row of metrics per estimator.  ``leaky``
-    fits imputation and scaling on all rows, only to compare.
+    fits imputation and scaling on all rows, only to compare.  ``spread``
+    redistributes the rows by key before they are cached, for sources that arrive
+    in few partitions: every pass of a fit then uses all executors.
     """
-    rows = split_by_key(df.select(key, target, *features).na.drop(subset=[target]), key, percent)
+    rows = df.select(key, target, *features).na.drop(subset=[target])
+    rows = split_by_key(rows.repartition(key) if spread else rows, key, percent)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     training, holdout = rows.where("part = 'train'"), rows.where("part = 'test'")
     scaler = MedianScaler(features).fit(rows if leaky else training)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallywick.functions.tails import chi2_upper, f_upper
 from tallywick.functions.values import finite
-from tallywick.operators.grouping import with_margin
+from tallywick.operators.grouping import with_margins
 from tallywick.operators.shaping import listed
 
 RESULT_COLUMNS = ["test", "kind", "n", "statistic", "dof", "dof2", "p", "effect", "effect_name", "notes"]
@@ -36,7 +36,7 @@ def pair_cells(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 def with_expected(cells: DataFrame) -> DataFrame:
     """Adds both margins, the total and the expected count to crosstab cells."""
     totals = cells.groupBy("x", "y").agg(F.sum("n").alias("total"))
-    placed = with_margin(with_margin(cells, ["x", "y", "a"], "row_n"), ["x", "y", "b"], "col_n")
+    placed = with_margins(cells, {"row_n": ["x", "y", "a"], "col_n": ["x", "y", "b"]})
     placed = placed.join(F.broadcast(totals), ["x", "y"])  # one row per listed pair
     return placed.withColumn("expected", F.col("row_n") * (F.col("col_n") / F.col("total")))
 
@@ -103,7 +103,7 @@ def chi_square(
 def expected_counts(grid: DataFrame, x: str, y: str) -> DataFrame:
     """Expected count of every cell of a full crosstab ``(x, y, n)``."""
     total = grid.agg(F.sum("n")).scalar()
-    placed = with_margin(with_margin(grid, [x], "row_n"), [y], "col_n")
+    placed = with_margins(grid, {"row_n": [x], "col_n": [y]})
     return placed.withColumn("expected", F.col("row_n") * (F.col("col_n") / total)).drop("row_n", "col_n")
 
 
@@ -146,18 +146,27 @@ def mean_tests(df: DataFrame, tests: Sequence[tuple[str, str, str]]) -> DataFram
     aggregate, so all tests share one plan.
     """
     groups = group_statistics(df, tests)
-    grand = groups.groupBy("test").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"))
-    placed = groups.join(F.broadcast(grand), "test")  # one row per listed test
+    # both aggregations read sizes, means and variances, so they share one scan
     record = F.struct("category", "n", "mean", "variance")
-    distance = F.col("mean") - F.col("grand")
-    sums = placed.groupBy("test").agg(
+    totals = groups.groupBy("test").agg(
         F.count(F.lit(1)).alias("groups"),
-        F.sum("n").alias("n"),
+        F.sum("n").alias("total"),
         F.min("n").alias("smallest"),
         F.min(record).alias("first"),
         F.max(record).alias("second"),
-        F.sum(F.col("n") * distance * distance).alias("between"),
-        F.sum((F.col("n") - 1) * F.coalesce("variance", F.lit(0.0))).alias("within"),
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"),
+    )
+    carried = ["groups", "total", "smallest", "first", "second"]
+    distance = F.col("mean") - F.col("grand")
+    sums = (
+        groups.join(F.broadcast(totals), "test")  # one row per listed test
+        .groupBy("test")
+        .agg(
+            *[F.max(c).alias(c) for c in carried],
+            F.sum(F.col("n") * distance * distance).alias("between"),
+            F.sum((F.col("n") - 1) * F.coalesce("variance", F.lit(0.0))).alias("within"),
+        )
+        .withColumnRenamed("total", "n")
     )
     t, welch_dof, d = _welch(F.col("first"), F.col("second"))
     df_between = (F.col("groups") - 1).cast("double")

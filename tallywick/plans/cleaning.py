@@ -253,6 +253,7 @@ def finite_samples(spark, folder):
             FROM k""",
         ["o_orderkey", "o_custkey", "o_orderstatus", "status", "band"],
         ["o_totalprice", "price", "o_totalprice_zscore"],
+        digits=6,
     ),
 )
 def cleaning_chain(spark, folder):
@@ -286,7 +287,7 @@ def cleaning_chain(spark, folder):
             ops.rest_as_text,
         ],
     )
-    return steady(clean)
+    return steady(clean, digits=6)
 
 
 @query(

@@ -50,12 +50,13 @@ def bands_closed_left(spark, folder):
                   AS o_totalprice_zscore, NULL::DOUBLE AS same_zscore FROM orders""",
         ["o_orderkey"],
         ["o_totalprice_zscore", "same_zscore"],
+        digits=6,
     ),
 )
 def z_scores(spark, folder):
     orders = table(spark, folder, "orders").withColumn("same", F.lit(3.0))
     rows = ops.with_z_scores(orders, ["o_totalprice", "same"])
-    return steady(rows.select("o_orderkey", "o_totalprice_zscore", "same_zscore"))
+    return steady(rows.select("o_orderkey", "o_totalprice_zscore", "same_zscore"), digits=6)
 
 
 @query(
@@ -75,11 +76,12 @@ def medians_filled(spark, folder):
                   AS o_totalprice_std FROM orders""",
         ["o_orderkey"],
         ["o_totalprice_std"],
+        digits=6,
     ),
 )
 def standardised_columns(spark, folder):
     rows = ops.standardised_columns(table(spark, folder, "orders"), ["o_totalprice"])
-    return steady(rows.select("o_orderkey", "o_totalprice_std"))
+    return steady(rows.select("o_orderkey", "o_totalprice_std"), digits=6)
 
 
 HASH = "('0x' || substr(md5({key}::VARCHAR), 1, 8))::UBIGINT::BIGINT"

@@ -206,10 +206,11 @@ def unresolved_names(spark, folder):
                   (c_acctbal - avg(c_acctbal) OVER ()) / stddev_pop(c_acctbal) OVER () AS c_acctbal_std FROM customer""",
         ["c_custkey", "c_mktsegment"],
         ["c_acctbal_std"],
+        digits=6,
     ),
 )
 def attached_by_key(spark, folder):
     customers = table(spark, folder, "customer")
     computed = standardised_columns(customers.select("c_custkey", "c_acctbal"), ["c_acctbal"])
     rows = ops.with_attached(customers.select("c_custkey", "c_mktsegment"), computed, "c_custkey", ["c_acctbal_std"])
-    return steady(rows)
+    return steady(rows, digits=6)

@@ -145,7 +145,7 @@ def _small_forest(target, depth=6):
 @query("model_scores")
 def model_scores(spark, folder):
     estimators = {"linear": reg.linear_model(TARGET), "forest": _small_forest(TARGET)}
-    return reg.train(_lines(spark, folder), "line", FEATURES, TARGET, estimators)[1]
+    return reg.train(_lines(spark, folder), "line", FEATURES, TARGET, estimators, spread=True)[1]
 
 
 @query("model_comparison")
@@ -155,7 +155,7 @@ def model_comparison(spark, folder):
     tables = []
     for target in (TARGET, "revenue"):
         estimators = {"linear": reg.linear_model(target), "forest": _small_forest(target, depth=4)}
-        tables.append(reg.train(lines, "line", FEATURES, target, estimators)[1])
+        tables.append(reg.train(lines, "line", FEATURES, target, estimators, spread=True)[1])
     both = tables[0].unionByName(tables[1])
     linear, forest = (both.where(F.col("model") == m).drop("model", "n") for m in ("linear", "forest"))
     return compared(linear, forest, "target", ("_linear", "_forest"))
@@ -176,7 +176,7 @@ def grid_search(spark, folder):
 
 @query("importances")
 def importances(spark, folder):
-    models, _ = reg.train(_lines(spark, folder), "line", FEATURES, TARGET, {"forest": _small_forest(TARGET)})
+    models, _ = reg.train(_lines(spark, folder), "line", FEATURES, TARGET, {"forest": _small_forest(TARGET)}, spread=True)
     return reg.importances(spark, models["forest"], FEATURES)
 
 
@@ -186,7 +186,7 @@ def importances_compared(spark, folder):
     lines = _lines(spark, folder).withColumn("revenue", F.col(TARGET) * (1 - F.col("l_discount")))
     sides = []
     for target in (TARGET, "revenue"):
-        models, _ = reg.train(lines, "line", FEATURES, target, {"forest": _small_forest(target, depth=4)})
+        models, _ = reg.train(lines, "line", FEATURES, target, {"forest": _small_forest(target, depth=4)}, spread=True)
         sides.append(reg.importances(spark, models["forest"], FEATURES))
     return compared(*sides, "feature", ("_price", "_revenue"))
 
@@ -206,7 +206,7 @@ def scored_table_linear(spark, folder):
 @query("scored_table")
 def scored_table(spark, folder):
     lines = _lines(spark, folder)
-    models, _ = reg.train(lines, "line", FEATURES, TARGET, {"forest": _small_forest(TARGET, depth=4)})
+    models, _ = reg.train(lines, "line", FEATURES, TARGET, {"forest": _small_forest(TARGET, depth=4)}, spread=True)
     return reg.scored(models["forest"], lines, ["line", TARGET])
 
 
@@ -230,11 +230,12 @@ def _pair_components(customers):
         f"""{PAIR_SQL} SELECT c_custkey, (z1 + z2) / sqrt(2) AS pc1, (z1 - z2) / sqrt(2) AS pc2 FROM z""",
         ["c_custkey"],
         ["pc1", "pc2"],
+        digits=6,
     ),
 )
 def component_scores(spark, folder):
     customers = _customers(spark, folder)
-    return steady(comp.component_scores(_pair_components(customers), customers, ["c_custkey"]))
+    return steady(comp.component_scores(_pair_components(customers), customers, ["c_custkey"]), digits=6)
 
 
 @query(

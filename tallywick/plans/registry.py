@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -30,26 +30,30 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def steady(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rounds doubles to places that a different order of summation does not reach."""
-    chosen = columns or [f.name for f in df.schema if isinstance(f.dataType, DoubleType)]
-    return df.withColumns({c: _steady(F.col(c)) for c in chosen})
+def steady(df: DataFrame, digits: int = 8) -> DataFrame:
+    """Rounds doubles to places that a different order of summation does not reach.
 
+    Results with a row per input row use fewer digits: the more values there
+    are, the closer one of them lies to the edge between two roundings.
+    """
 
-def _steady(x):
-    return F.when(F.abs(x) < 1000, F.round(x, 8)).otherwise(F.round(x, 4)) + F.lit(0.0)
+    def rounded(x: Column) -> Column:
+        return F.when(F.abs(x) < 1000, F.round(x, digits)).otherwise(F.round(x, 4)) + F.lit(0.0)
 
+    doubles = [f.name for f in df.schema if isinstance(f.dataType, DoubleType)]
+    return df.withColumns({c: rounded(F.col(c)) for c in doubles})
 
-def steady_sql(expression: str) -> str:
+
+def steady_sql(expression: str, digits: int = 8) -> str:
     return (
-        f"(CASE WHEN abs({expression}) < 1000 THEN round(({expression})::DOUBLE, 8) "
+        f"(CASE WHEN abs({expression}) < 1000 THEN round(({expression})::DOUBLE, {digits}) "
         f"ELSE round(({expression})::DOUBLE, 4) END + 0.0::DOUBLE)"
     )
 
 
-def steady_query(inner: str, plain: Sequence[str], doubles: Sequence[str]) -> str:
+def steady_query(inner: str, plain: Sequence[str], doubles: Sequence[str], digits: int = 8) -> str:
     """Selects columns of an inner query, the doubles rounded as by :func:`steady`."""
-    parts = [*plain, *[f"{steady_sql(c)} AS {c}" for c in doubles]]
+    parts = [*plain, *[f"{steady_sql(c, digits)} AS {c}" for c in doubles]]
     return f"WITH result AS ({inner}) SELECT {', '.join(parts)} FROM result"
 
 
