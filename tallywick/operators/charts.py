@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywick.functions.values import not_nan
 from tallywick.operators.association import correlation_matrix, lower_triangle
-from tallywick.operators.bounds import broadcast_if, few_groups
+from tallywick.operators.bounds import broadcast_if, value_spread
 from tallywick.operators.grouping import crosstab, row_percent
 from tallywick.operators.profiling import FENCE, QUARTILES, frequencies, per_column, with_fences
 from tallywick.operators.ranking import quantiles, stacked
@@ -57,14 +57,13 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
     )
 
 
-def box_statistics(rows: DataFrame, groups: Sequence[str], value: str = "value", small: bool | None = None) -> DataFrame:
+def box_statistics(rows: DataFrame, groups: Sequence[str], value: str = "value") -> DataFrame:
     """Quartiles, whiskers (last values inside the fences) and outlier counts per group."""
     groups = list(groups)
     present = rows.select(*groups, not_nan(F.col(value)).alias("value")).na.drop()
-    if small is None:
-        small = few_groups(present, groups)
-    boxes = with_fences(quantiles(present, groups, QUARTILES, small=small), FENCE)
-    placed = present.join(broadcast_if(boxes, small), groups)
+    spread = value_spread(present, groups, "value")
+    boxes = with_fences(quantiles(present, groups, QUARTILES, spread=spread), FENCE)
+    placed = present.join(broadcast_if(boxes, spread.few_groups), groups)
     inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     box = [F.max(c).alias(c) for c in ("q1", "median", "q3")]
     return placed.groupBy(*groups).agg(
@@ -76,14 +75,13 @@ def box_statistics(rows: DataFrame, groups: Sequence[str], value: str = "value",
     )
 
 
-def box_outliers(rows: DataFrame, groups: Sequence[str], value: str = "value", small: bool | None = None) -> DataFrame:
+def box_outliers(rows: DataFrame, groups: Sequence[str], value: str = "value") -> DataFrame:
     """The values beyond the whiskers, one row per value and how often it occurs."""
     groups = list(groups)
     present = rows.select(*groups, not_nan(F.col(value)).alias("value")).na.drop()
-    if small is None:
-        small = few_groups(present, groups)
-    boxes = with_fences(quantiles(present, groups, QUARTILES, small=small), FENCE)
-    placed = present.join(broadcast_if(boxes, small), groups)
+    spread = value_spread(present, groups, "value")
+    boxes = with_fences(quantiles(present, groups, QUARTILES, spread=spread), FENCE)
+    placed = present.join(broadcast_if(boxes, spread.few_groups), groups)
     beyond = placed.where(~F.col("value").between(F.col("low_fence"), F.col("high_fence")))
     return beyond.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("n"))
 
@@ -93,7 +91,7 @@ def column_boxes(df: DataFrame, columns: Sequence[str], log10: bool = False) ->
     long = stacked(df, columns)
     if log10:
         long = long.withColumn("value", F.when(F.col("value") > 0, F.log10("value")))
-    return box_statistics(long, ["variable"], small=True)
+    return box_statistics(long, ["variable"])
 
 
 def density(df: DataFrame, columns: Sequence[str], points: int = 1000) -> DataFrame:

@@ -54,7 +54,7 @@ def standardised_columns(df: DataFrame, columns: Sequence[str], suffix: str = "_
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact median of every column."""
-    return quantiles(stacked(df, columns), ["variable"], {"median": 0.5}, small=True)
+    return quantiles(stacked(df, columns), ["variable"], {"median": 0.5})
 
 
 def with_medians_filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,11 +1,13 @@
 """Exact quantiles, modes and average ranks without a global sort.
 
 Spark's ``percentile``, ``median`` and ``mode`` keep every distinct value of a
-group in the memory of one task.  Here bucket totals are sorted instead of
-values: first about 1e5 coarse buckets, then the fine buckets of the few coarse
-ones that hold a wanted rank, then the values of those fine buckets.  All three
-steps are map-side combined counts, so no step shuffles the rows themselves and
-a value that fills a third of the table is one row after the first combine.
+group in the memory of one task.  Where a count of the distinct values shows
+that they fit, ``percentile`` runs over value counts.  Beyond that bound bucket
+totals are sorted instead of values: first about 1e5 coarse buckets, then the
+fine buckets of the few coarse ones that hold a wanted rank, then the values of
+those fine buckets.  All three steps are map-side combined counts, so no step
+shuffles the rows themselves and a value that fills a third of the table is one
+row after the first combine.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tallywick.functions.ordering import coarse_bucket, fine_bucket
 from tallywick.functions.values import not_nan
-from tallywick.operators.bounds import broadcast_if, few_groups
+from tallywick.operators.bounds import MAX_VALUES_IN_A_TASK, Spread, broadcast_if, value_spread
 
 
 def stacked(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -71,18 +73,18 @@ def quantiles(
     probabilities: Mapping[str, float],
     value: str = "value",
     weight: str | None = None,
-    small: bool | None = None,
+    spread: Spread | None = None,
+    bound: int = MAX_VALUES_IN_A_TASK,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group.
 
     ``probabilities`` maps output names to shares.  ``weight`` names a column of
-    repeat counts, as in :func:`value_counts`, whose values are never missing.  ``small`` states that the number of groups is bounded by
-    construction (a fixed list of variables); otherwise it is counted first, and
-    the few wanted buckets are broadcast only below the limit.
+    repeat counts, as in :func:`value_counts`, whose values are never missing.
+    ``spread`` is the size check of the same table if the caller has made it;
+    ``bound`` is the number of distinct values that may meet in one task.
     Rows whose group key is NULL are left out.
     """
     groups = list(groups)
-    shares = list(probabilities.values())
     source = df.select(
         *groups,
         not_nan(F.col(value)).alias("v"),
@@ -92,8 +94,25 @@ def quantiles(
         source = source.where(F.col(key).isNotNull())
     if weight is None:  # counted values are present already
         source = source.where(F.col("v").isNotNull())
-    if small is None:
-        small = few_groups(source, groups)
+    spread = spread or value_spread(source, groups, "v")
+    if spread.values_in_a_task() <= bound:
+        return _short_quantiles(source, groups, probabilities)
+    return _bucket_quantiles(source, groups, probabilities, spread.few_groups)
+
+
+def _short_quantiles(source: DataFrame, groups: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
+    """Quantiles of few distinct values: ``percentile`` over their counts."""
+    counts = source.groupBy(*groups, "v").agg(F.sum("w").alias("n"))
+    shares = F.array(*[F.lit(float(p)) for p in probabilities.values()])
+    picked = counts.groupBy(*groups).agg(F.percentile("v", shares, F.col("n")).alias("picked"))
+    return picked.select(*groups, *[F.get("picked", F.lit(i)).alias(n) for i, n in enumerate(probabilities)])
+
+
+def _bucket_quantiles(
+    source: DataFrame, groups: Sequence[str], probabilities: Mapping[str, float], small: bool
+) -> DataFrame:
+    """Quantiles of any number of distinct values, in three levels of buckets."""
+    shares = list(probabilities.values())
     source = source.withColumn("fine", fine_bucket(F.col("v"))).withColumn(
         "coarse", coarse_bucket(F.col("fine"))
     )
@@ -155,8 +174,8 @@ def average_ranks(counts: DataFrame, groups: Sequence[str], value: str = "value"
 
     ``counts`` comes from :func:`value_counts`.  The running count is built in
     three levels (coarse buckets, fine buckets, values), each window holding one
-    bucket of the level above.  ``small`` as in :func:`quantiles`: the coarse
-    level has at most about 270,000 rows per group.
+    bucket of the level above.  ``small`` states that the number of groups is
+    bounded; the coarse level has at most about 270,000 rows per group.
     """
     groups = list(groups)
     keyed = counts.withColumn("fine", fine_bucket(F.col(value))).withColumn(
