@@ -111,8 +111,7 @@ def complete_pairs(spark, folder):
 )
 def stacked_parts(spark, folder):
     events = table(spark, folder, "events")
-    kinds = sorted(r["event_type"] for r in events.select("event_type").distinct().limit(100).collect())
-    parts = {k: events.where(F.col("event_type") == k).select("event_id", "value") for k in kinds}
+    parts = {t: events.where(F.col("event_type") == t).select("event_id", "value") for t in TYPES}
     return ops.stacked_parts(parts, "part")
 
 
