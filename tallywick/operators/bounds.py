@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_GROUPS = 20_000
-MAX_VALUES_IN_A_TASK = 4_000_000
+MAX_VALUES_IN_A_TASK = 1_000_000
 # Spark holds the buffers of so many groups in a task before it sorts instead
 # (default of spark.sql.objectHashAggregate.sortBased.fallbackThreshold)
 GROUPS_IN_A_TASK = 128
