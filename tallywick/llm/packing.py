@@ -180,7 +180,7 @@ def pack(parts: DataFrame, tokens: int = SEQUENCE_TOKENS, group_pieces: int = GR
     counted = parked(parts, "pieces")
     groups = max(1, round(counted.count() / group_pieces))
 
-    def packed(key, group: pa.Table) -> pa.Table:
+    def packed(key, group):
         group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
         bins, offsets = best_fit_decreasing(group["length"].to_numpy(), tokens)
         first = key[0].as_py() << 32
