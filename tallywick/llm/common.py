@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII letters to lower case, the rest of a-z, 0-9 and non-ASCII bytes kept, other ASCII to a space
 _WORD_BYTES = bytes(
@@ -17,6 +20,26 @@ _WORD_BYTES = bytes(
 )
 
 
+def shipped(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python, once per context, wherever it was imported from."""
+    context = spark.sparkContext
+    if getattr(context, "_tallywick_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    target = f"{tempfile.mkdtemp(prefix='tallywick-')}/tallywick.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(target)
+    context._tallywick_shipped = True
+
+
+def texts(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text`` of documents, whatever other columns they have."""
+    shipped(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywick.llm.common import ascii_words, each_batch, table
+from tallywick.llm.common import ascii_words, each_batch, table, texts
 
 #: fixed values: phrases whose words must stand consecutively, and notices
 PHRASES = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
@@ -144,7 +144,7 @@ def scanned(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, notices: Mapp
     reaches its threshold.  A missing or empty text has no words and no license;
     repeated rows and missing ids stay.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    docs = texts(docs)
     made = templates(phrases, notices, threshold)
     index = Index(made, word_frequencies(docs, frozenset(w for t in made for w in t.words)))
 

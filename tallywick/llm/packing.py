@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywick.llm.common import parked, table
+from tallywick.llm.common import parked, table, texts
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
@@ -115,7 +115,7 @@ def pieces(docs: DataFrame, tokenizer: str, tokens: int = SEQUENCE_TOKENS, end_i
                     [pa.array(c, f.type) for c, f in zip(zip(*rows), _PIECES, strict=True)], schema=_PIECES
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES)
+    return texts(docs).mapInArrow(cut, PIECES)
 
 
 class OpenBins:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tallywick.llm import licenses, packing, secrets
+from tallywick.llm import licenses, nearwords, packing, secrets
 
 QUERIES = {
     "op2_license_scan": licenses.op2_license_scan,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op9_minhash_near_dedup": nearwords.op9_minhash_near_dedup,
     "op7_secret_scan": secrets.op7_secret_scan,
 }
 ORACLES: dict[str, str] = {}

@@ -15,9 +15,8 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallywick.llm.common import each_batch, table
+from tallywick.llm.common import each_batch, table, texts
 
 #: fixed values: order of kinds in the result, keywords and expressions
 KINDS = ("assign", "access", "hex", "github", "npm")
@@ -119,7 +118,7 @@ def scanned(docs: DataFrame) -> DataFrame:
         return out
 
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(each_batch(rows, _SCHEMA), schema)
+    return texts(docs).mapInArrow(each_batch(rows, _SCHEMA), schema)
 
 
 def op7_secret_scan(spark, folder: str) -> DataFrame:
