@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from tallywick.llm import licenses, nearwords, packing, secrets
+from tallywick.llm import decontamination, html_text, licenses, nearwords, packing, secrets, warc
 
 QUERIES = {
+    "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
+    "op5_html_extraction": html_text.op5_html_extraction,
+    "op10_warc_derivatives": warc.op10_warc_derivatives,
     "op2_license_scan": licenses.op2_license_scan,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op9_minhash_near_dedup": nearwords.op9_minhash_near_dedup,
