@@ -16,6 +16,8 @@ the ``s - least + 1`` values that are rarest in the corpus.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -85,6 +87,40 @@ def _confirm(percent: int):
     return confirmed
 
 
+def linked_through_lists(lists: DataFrame, confirmed: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """``(id, c)``: components of the confirmed pairs that share a list in ``lists(id, n, value)``.
+
+    ``n`` is the set size; sizes too far apart for the similarity are no pair.
+    Leader rounds come first, then all pairs of a list between different components.
+    """
+    fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
+    links = comp = None
+    for number in range(LEADER_ROUNDS + 1):
+        if comp is None:
+            current = lists.withColumn("c", F.col("id"))
+        else:
+            current = lists.join(comp, "id", "left").withColumn("c", F.coalesce("c", "id"))
+        if number < LEADER_ROUNDS:
+            order = F.struct(F.xxhash64("c", F.lit(number)), F.xxhash64("id", F.lit(number)), "id", "c", "n")
+            leaders = current.groupBy("value").agg(F.min(order).alias("lead"))
+            pairs = current.join(leaders, "value").where("c != lead.c").select(
+                F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b"), "n", F.col("lead.n").alias("m")
+            )
+        else:
+            open_lists = current.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("value")
+            rest = current.join(open_lists, "value")
+            other = rest.select("value", F.col("id").alias("id2"), F.col("c").alias("c2"), F.col("n").alias("m"))
+            pairs = (
+                rest.join(other, "value")
+                .where((F.col("c") != F.col("c2")) & (F.col("id") < F.col("id2")) & fits)
+                .select(F.col("id").alias("a"), F.col("id2").alias("b"), "n", "m")
+            )
+        found = parked(confirmed(pairs.where(fits).select("a", "b").distinct()), f"links-{number}")
+        links = found if links is None else links.unionByName(found)
+        comp = components(links).select(F.col("node").alias("id"), F.col("component").alias("c"))
+    return comp
+
+
 def linked_components(sets: DataFrame, percent: int = 80) -> DataFrame:
     """``(set_key, doc_id, component_id)`` of every set: one row per class of equal sets."""
     classes = parked(
@@ -107,35 +143,15 @@ def linked_components(sets: DataFrame, percent: int = 80) -> DataFrame:
         .select("id", "n", F.col("e.value").alias("value"))
     )
     lists = parked(entered, "lists")
-    links = None
-    comp = None
-    for number in range(LEADER_ROUNDS + 1):
-        current = lists if comp is None else lists.join(comp, "id", "left").withColumn("c", F.coalesce("c", "id"))
-        if comp is None:
-            current = current.withColumn("c", F.col("id"))
-        if number < LEADER_ROUNDS:
-            order = F.struct(F.xxhash64("c", F.lit(number)), F.xxhash64("id", F.lit(number)), "id", "c", "n")
-            leaders = current.groupBy("value").agg(F.min(order).alias("lead"))
-            pairs = current.join(leaders, "value").where("c != lead.c").select(
-                F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b"), "n", F.col("lead.n").alias("m")
-            )
-        else:
-            # what is left: lists whose members are in several components
-            open_lists = current.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("value")
-            rest = current.join(open_lists, "value")
-            other = rest.select("value", F.col("id").alias("id2"), F.col("c").alias("c2"), F.col("n").alias("m"))
-            pairs = rest.join(other, "value").where(
-                (F.col("c") != F.col("c2")) & (F.col("id") < F.col("id2"))
-                & (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-            ).select(F.col("id").alias("a"), F.col("id2").alias("b"), "n", "m")
-        pairs = pairs.where((F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)).select("a", "b").distinct()
-        full = classes.select("id", "shingles")
+    full = classes.select("id", "shingles")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
         wide = pairs.join(full.select(F.col("id").alias("a"), F.col("shingles").alias("a_set")), "a").join(
             full.select(F.col("id").alias("b"), F.col("shingles").alias("b_set")), "b"
         )
-        found = parked(wide.select("a", "b", "a_set", "b_set").mapInArrow(_confirm(percent), "a long, b long"), f"links-{number}")
-        links = found if links is None else links.unionByName(found)
-        comp = components(links).select(F.col("node").alias("id"), F.col("component").alias("c"))
+        return wide.select("a", "b", "a_set", "b_set").mapInArrow(_confirm(percent), "a long, b long")
+
+    comp = linked_through_lists(lists, confirmed, percent)
     return classes.select("set_key", "id").join(comp, "id", "left").select("set_key", F.coalesce("c", "id").alias("component_id"))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tallywick.llm import decontamination, html_text, licenses, nearwords, packing, secrets, warc
+from tallywick.llm import decontamination, fingerprints, html_text, licenses, nearwords, packing, quality, secrets, warc
 
 QUERIES = {
+    "op3_quality_classifier": quality.op3_quality_classifier,
+    "op4_document_fingerprints": fingerprints.op4_document_fingerprints,
     "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
     "op5_html_extraction": html_text.op5_html_extraction,
     "op10_warc_derivatives": warc.op10_warc_derivatives,
