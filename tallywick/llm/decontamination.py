@@ -94,7 +94,7 @@ def stretches(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFrame:
                     np.add.at(cover, hit + size, -1)
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], (np.cumsum(cover) > 0).view(np.int8), [0]))))
                 runs = [{"first": a, "words": b" ".join(words[a:b]).decode("utf-8", "replace")} for a, b in edges.reshape(-1, 2).tolist()]
-                key = xxhash.xxh3_128_digest(b" ".join(words)) if runs else None
+                key = xxhash.xxh3_128_digest(h.tobytes())
                 out.append((doc, len(words), key, runs))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _STRETCHES, strict=True)], schema=_STRETCHES)
