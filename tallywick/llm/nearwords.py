@@ -31,37 +31,50 @@ SHARE_NEEDED = 0.6
 LEADER_ROUNDS = 3
 
 _SETS = pa.schema(
-    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sketch", pa.list_(pa.int64())), ("shingles", pa.binary())]
+    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sketch", pa.list_(pa.int64()))]
 )
+_WHOLE = pa.schema([("set_key", pa.binary()), ("shingles", pa.binary())])
+
+
+def _sets(texts_: list[str | None], words: int, hashes: WordHashes):
+    import xxhash
+
+    for text in texts_:
+        h = hashes.of(blank_words(text))
+        s = np.unique(shingle_hashes(h, min(words, max(len(h), 1)))) if len(h) else h
+        yield s, xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """Set size, digest, sketch and whole set (sorted 64-bit hashes) of every row.
+    """Set size, digest and sketch (least values of a second mix) of every row.
 
     Fewer words than a shingle make one shingle of the whole text; a missing or
     wordless text has the empty set and no digest.
     """
 
     def made(batches):
-        import xxhash
-
         hashes = WordHashes()
         for batch in batches:
-            data = batch.to_pydict()
-            out = []
-            for doc, text in zip(data["doc_id"], data["text"], strict=True):
-                h = hashes.of(blank_words(text))
-                s = np.unique(shingle_hashes(h, min(words, max(len(h), 1)))) if len(h) else h
-                # ranks of the sketch come from a second mix: sorted by it, kept as hash values
-                raw = s.tobytes()
-                least = np.sort(mixed(s))[:SKETCH].view(np.int64)
-                out.append((doc, len(s), xxhash.xxh3_128_digest(raw) if len(s) else None, least, raw))
+            data, out = batch.to_pydict(), []
+            for doc, (s, key) in zip(data["doc_id"], _sets(data["text"], words, hashes), strict=True):
+                out.append((doc, len(s), key, np.sort(mixed(s))[:SKETCH].view(np.int64)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SETS, strict=True)], schema=_SETS)
 
-    return texts(docs).mapInArrow(
-        made, "doc_id long, n_shingles long, set_key binary, sketch array<long>, shingles binary"
-    )
+    return texts(docs).mapInArrow(made, "doc_id long, n_shingles long, set_key binary, sketch array<long>")
+
+
+def whole_sets(docs: DataFrame, words: int) -> DataFrame:
+    """``(set_key, shingles)`` of every row with words: all hashes, sorted."""
+
+    def made(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            out = [(key, s.tobytes()) for s, key in _sets(batch.column("text").to_pylist(), words, hashes) if key]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _WHOLE, strict=True)], schema=_WHOLE)
+
+    return texts(docs).mapInArrow(made, "set_key binary, shingles binary")
 
 
 def _confirm(percent: int):
@@ -121,16 +134,16 @@ def linked_through_lists(lists: DataFrame, confirmed: Callable[[DataFrame], Data
     return comp
 
 
-def linked_components(sets: DataFrame, percent: int = 80) -> DataFrame:
-    """``(set_key, doc_id, component_id)`` of every set: one row per class of equal sets."""
+def linked_components(docs: DataFrame, sets: DataFrame, words: int, percent: int = 80) -> DataFrame:
+    """``(set_key, component_id)`` of every set that occurs; the least id of its component."""
     classes = parked(
-        sets.where("set_key is not null").groupBy("set_key").agg(
-            F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("shingles").alias("shingles")
-        ).where("id is not null"),
+        sets.where("set_key is not null")
+        .groupBy("set_key")
+        .agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.max("sketch").alias("sketch"))
+        .withColumn("id", F.xxhash64("set_key")),
         "classes",
     )
-    narrow = classes.select("id", "n", "sketch")
-    values = narrow.select("id", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
+    values = classes.select("id", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     entered = (
         values.join(shared, "value")
@@ -143,7 +156,12 @@ def linked_components(sets: DataFrame, percent: int = 80) -> DataFrame:
         .select("id", "n", F.col("e.value").alias("value"))
     )
     lists = parked(entered, "lists")
-    full = classes.select("id", "shingles")
+    # whole sets of the entered classes only, made again from one of their texts
+    chosen = classes.join(lists.select("id").distinct(), "id", "left_semi")
+    sources = docs.select("doc_id", "text").join(chosen.select(F.col("doc_id").alias("from_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("from_id")), "left_semi")
+    full = parked(
+        whole_sets(sources, words).join(chosen.select("set_key", "id"), "set_key").groupBy("id").agg(F.max("shingles").alias("shingles")), "whole-sets"
+    )
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         wide = pairs.join(full.select(F.col("id").alias("a"), F.col("shingles").alias("a_set")), "a").join(
@@ -152,7 +170,9 @@ def linked_components(sets: DataFrame, percent: int = 80) -> DataFrame:
         return wide.select("a", "b", "a_set", "b_set").mapInArrow(_confirm(percent), "a long, b long")
 
     comp = linked_through_lists(lists, confirmed, percent)
-    return classes.select("set_key", "id").join(comp, "id", "left").select("set_key", F.coalesce("c", "id").alias("component_id"))
+    marked = classes.select("set_key", "id", "doc_id").join(comp, "id", "left").withColumn("c", F.coalesce("c", "id"))
+    least = marked.groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    return marked.join(least, "c").select("set_key", "component_id")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -163,7 +183,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     is their component.  Repeated rows with one id are kept together.
     """
     sets = parked(shingle_sets(docs, words), "sets")
-    found = linked_components(sets, percent)
+    found = linked_components(docs, sets, words, percent)
     return (
         sets.select("doc_id", "n_shingles", "set_key")
         .join(found, "set_key", "left")
