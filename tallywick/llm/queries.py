@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallywick.llm import decontamination, fingerprints, html_text, licenses, nearwords, packing, quality, secrets, warc
+from tallywick.llm import decontamination, fingerprints, html_text, licenses, linededup, nearwords, packing, quality, secrets, warc
 
 QUERIES = {
+    "op8_line_dedup": linededup.op8_line_dedup,
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_document_fingerprints": fingerprints.op4_document_fingerprints,
     "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
