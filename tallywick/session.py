@@ -19,5 +19,6 @@ def local_session(cores: int | str = "*", memory: str = "12g", partitions: int =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
