@@ -56,9 +56,11 @@ def parse(data: bytes) -> list[tuple[dict[str, str], bytes]]:
         if not line.startswith(b"WARC/"):
             raise ValueError("no WARC record here")
         headers = {}
-        while (line := stream.readline().strip(b"\r\n")):
+        while (line := stream.readline()).strip(b"\r\n"):
             name, _, value = line.decode("utf-8", "replace").partition(":")
             headers[name.strip()] = value.strip()
+        if not line.endswith(b"\n"):
+            raise ValueError("the header is cut")
         size = int(headers.get("Content-Length", 0))
         block = stream.read(size)
         if len(block) < size:
