@@ -8,6 +8,7 @@ no task holds more than a group whatever the corpus size.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from functools import lru_cache
 
@@ -22,9 +23,11 @@ SEQUENCE_TOKENS = 2048
 END_ID = 0
 GROUP_PIECES = 16384
 #: words remembered by a Python worker; all are forgotten when it is full
-REMEMBERED_WORDS = 400_000
-#: special token of the vocabulary used to keep words apart in one call
-_BETWEEN = "<|startoftext|>"
+REMEMBERED_WORDS = 800_000
+_SYMBOLS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: fixed values of byte-level vocabularies: the character that stands for each byte
+_PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_MARKS = {b: b for b in _PLAIN_BYTES} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN_BYTES)}
 
 
 def default_tokenizer() -> str:
@@ -44,26 +47,41 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.between = self.tokenizer.token_to_id(_BETWEEN)
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {"": b""}
 
+    def _word(self, word: str) -> bytes:
+        """Letters of Latin-1, with ASCII symbols after them, go to the model directly.
+
+        The vocabulary's normaliser and splitter leave such a run of letters whole,
+        so the model alone gives the same ids; all else takes the whole way.
+        """
+        if max(word) < "\u0100":
+            lowered = word.lower()
+            core = lowered.rstrip(_SYMBOLS)
+            if core.isalpha():
+                found = self.known.get(core)
+                if found is None:
+                    marks = core.encode().decode("latin-1").translate(_BYTE_MARKS)
+                    ids = [t.id for t in self.model.tokenize(marks)]
+                    found = struct.pack(f"<{len(ids)}I", *ids)
+                    self.known[core] = found
+                return found if len(core) == len(lowered) else found + self._whole(lowered[len(core) :])
+        return self._whole(word)
+
+    def _whole(self, text: str) -> bytes:
+        found = self.known.get(text)
+        if found is None:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            self.known[text] = found
+        return found
+
     def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > REMEMBERED_WORDS:
+        if len(self.known) + 2 * len(words) > REMEMBERED_WORDS:
             self.known = {"": b""}
-        plain = [w for w in words if "<|" not in w] if self.between is not None else []
-        for i in range(0, len(plain), 2000):
-            some = plain[i : i + 2000]
-            joined = self.tokenizer.encode(f" {_BETWEEN} ".join(some), add_special_tokens=False)
-            ids = np.array(joined.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.between)
-            starts, ends = np.append(0, cuts + 1) * 4, np.append(cuts, len(ids)) * 4
-            data = ids.tobytes()
-            for word, a, b in zip(some, starts.tolist(), ends.tolist(), strict=True):
-                self.known[word] = data[a:b]
         for word in words:
-            if word not in self.known:
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-                self.known[word] = np.array(ids, "<u4").tobytes()
+            self.known[word] = self._word(word)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
