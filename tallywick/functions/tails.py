@@ -27,6 +27,7 @@ _LANCZOS = [
 ]
 _TINY = "1E-300D"
 _LARGE_BETA = "20000D"
+_LARGE_GAMMA = "100000D"
 
 
 def _let(name: str, fields: dict[str, str], body: str) -> str:
@@ -52,7 +53,30 @@ def _steps(size: str) -> str:
     return f"sequence(1, cast(least(200D + 12D * sqrt({size}), 200000D) as int))"
 
 
-def _upper_gamma(s: str, x: str, name: str = "g") -> str:
+def _wide_upper_gamma(s: str, x: str) -> str:
+    """Q(s, x) for s above ``_LARGE_GAMMA``: Temme's uniform expansion.
+
+    Half a complementary error function plus the first coefficients in powers of
+    eta; beyond |eta| = 0.2 both tails are below 1e-300 at such s.
+    """
+    mu = f"(({x} - {s}) / {s})"
+    # mu - log(1 + mu), by its series where the difference would lose digits
+    gap = _let(
+        "t",
+        {"m": mu},
+        "if(abs(t.m) < 1E-4D, t.m * t.m * (0.5D - t.m * (1D / 3D - t.m * (0.25D - t.m * 0.2D))), t.m - log1p(t.m))",
+    )
+    eta = f"(if({x} < {s}, -1D, 1D) * sqrt(2D * {gap}))"
+    first = "(-1D / 3D + e.v * (1D / 12D - e.v * (2D / 135D - e.v * (1D / 864D + e.v * (1D / 2835D)))))"
+    tail = _upper_gamma("0.5D", "e.s * e.v * e.v / 2D", "h", wide=False)
+    body = (
+        f"if(e.v < 0D, 1D - {tail} / 2D, {tail} / 2D) "
+        f"+ exp(-e.s * e.v * e.v / 2D) / sqrt(2D * pi() * e.s) * ({first} - 1D / 540D / e.s)"
+    )
+    return _let("e", {"v": eta, "s": s}, body)
+
+
+def _upper_gamma(s: str, x: str, name: str = "g", wide: bool = True) -> str:
     """Regularised upper incomplete gamma function Q(s, x)."""
     s_, x_ = f"{name}.s", f"{name}.x"
     scale = f"exp({s_} * ln({x_}) - {x_} - {_log_gamma(s_)})"
@@ -73,7 +97,9 @@ def _upper_gamma(s: str, x: str, name: str = "g") -> str:
         f"(q, k) -> {step}, q -> q.h)"
     )
     body = (
-        f"CASE WHEN {x_} <= 0D THEN 1D WHEN {x_} < {s_} + 1D THEN 1D - {scale} * {series} "
+        f"CASE WHEN {x_} <= 0D THEN 1D "
+        + (f"WHEN {s_} > {_LARGE_GAMMA} THEN {_wide_upper_gamma(s_, x_)} " if wide else "")
+        + f"WHEN {x_} < {s_} + 1D THEN 1D - {scale} * {series} "
         f"ELSE {scale} * {fraction} END"
     )
     return _let(name, {"s": s, "x": x}, body)

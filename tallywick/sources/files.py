@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -54,9 +55,20 @@ def parse_delimited(lines: DataFrame, column: str, schema: StructType, null_toke
 
 
 def landed(spark: SparkSession, path: str, produce: Callable[[], DataFrame], refresh: bool = False) -> DataFrame:
-    """A stored Parquet table, produced when it is absent or a refresh is forced."""
+    """A stored Parquet table, produced when it is absent, empty or a refresh is forced.
+
+    While the stored table has rows, ``produce`` is not called, so its source may be gone.
+    """
+    if not refresh:
+        try:
+            stored = spark.read.parquet(path)
+            if not stored.isEmpty():
+                return stored
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
     produced = produce()
-    produced.write.mode("overwrite" if refresh else "ignore").parquet(path)
+    produced.write.mode("overwrite").parquet(path)
     return spark.read.schema(produced.schema).parquet(path)
 
 

@@ -120,6 +120,14 @@ def test_landing_runs_once_unless_forced(spark, scratch):
     assert files.landed(spark, path, produced(5)).count() == 3
     assert files.landed(spark, path, produced(5), refresh=True).count() == 5
 
+    def gone():
+        raise AssertionError("the source was read")
+
+    assert files.landed(spark, path, gone).count() == 5
+    empty = str(scratch / "landed_empty")
+    assert files.landed(spark, empty, produced(0)).count() == 0
+    assert files.landed(spark, empty, produced(2)).count() == 2
+
 
 def test_tables_and_tagged_parts(spark, scratch):
     for name in ("x", "y"):

@@ -63,3 +63,16 @@ def test_runs_on_columns(spark):
     rows = spark.createDataFrame([(2.0, 10.0), (0.5, 4.0)], "t double, dof double")
     p = [r["p"] for r in rows.select(t_two_sided("t", "dof").alias("p")).orderBy(F.col("p")).collect()]
     assert p == pytest.approx([0.07338803, 0.64333], abs=1e-4)
+
+
+@pytest.mark.parametrize("dof", [1e6, 4e9, 4e10, 1e12])
+def test_chi_square_at_large_dof(spark, dof):
+    # at its mean the law is skewed by this much
+    expected = 0.5 - (2 / 3) / math.sqrt(4 * math.pi * dof)
+    assert one(spark, chi2_upper(f"{dof!r}D", f"{dof!r}D")) == pytest.approx(expected, abs=1e-8)
+
+
+@pytest.mark.parametrize("z", [-3.0, -1.0, 0.0, 1.0, 3.0, 6.0])
+def test_chi_square_on_both_sides_of_the_expansion(spark, z):
+    below, above = (one(spark, chi2_upper(f"{d + z * math.sqrt(2 * d)!r}D", f"{d!r}D")) for d in (199_998.0, 200_002.0))
+    assert below == pytest.approx(above, abs=2e-8)
