@@ -30,11 +30,14 @@ def components(links: DataFrame) -> DataFrame:
             low.select("u", F.col("m").alias("v"))
         )
         after = parked(small.where("u != v").distinct(), "edges")
-        state = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
-        same = edges.agg(state.alias("s")).first()["s"] == after.agg(state.alias("s")).first()["s"]
         edges = after
-        if same:
+        # done when every node has one parent and no parent has one
+        roles = after.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(
+            after.select(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("parent"))
+        )
+        open_nodes = roles.groupBy("node").agg(F.sum("child").alias("c"), F.max("parent").alias("p")).where("c > 1 or (c > 0 and p > 0)")
+        if open_nodes.isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
-            ).distinct()
+                edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+            )
     raise RuntimeError(f"components are not stable after {MAX_ROUNDS} rounds")

@@ -28,7 +28,7 @@ from tallywick.llm.components import components
 
 SKETCH = 64
 SHARE_NEEDED = 0.6
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 
 _SETS = pa.schema(
     [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sketch", pa.list_(pa.int64()))]
@@ -100,6 +100,21 @@ def _confirm(percent: int):
     return confirmed
 
 
+def _merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``(id, c)`` after new links: only the components they touch are contracted anew."""
+    if comp is None:
+        return components(links).select(F.col("node").alias("id"), F.col("component").alias("c"))
+    if links.isEmpty():
+        return comp
+    for end in ("a", "b"):
+        old = comp.select(F.col("id").alias(end), F.col("c").alias(f"c_{end}"))
+        links = links.join(old, end, "left").withColumn(f"c_{end}", F.coalesce(f"c_{end}", end))
+    moved = components(links.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))).select(F.col("node").alias("was"), F.col("component").alias("now"))
+    kept = comp.join(moved, comp["c"] == moved["was"], "left").select("id", F.coalesce("now", "c").alias("c"))
+    single = moved.join(comp.select(F.col("id").alias("was")), "was", "left_anti").select(F.col("was").alias("id"), F.col("now").alias("c"))
+    return parked(kept.unionByName(single), "contracted")
+
+
 def linked_through_lists(lists: DataFrame, confirmed: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """``(id, c)``: components of the confirmed pairs that share a list in ``lists(id, n, value)``.
 
@@ -107,7 +122,7 @@ def linked_through_lists(lists: DataFrame, confirmed: Callable[[DataFrame], Data
     Leader rounds come first, then all pairs of a list between different components.
     """
     fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-    links = comp = None
+    comp = None
     for number in range(LEADER_ROUNDS + 1):
         if comp is None:
             current = lists.withColumn("c", F.col("id"))
@@ -129,8 +144,7 @@ def linked_through_lists(lists: DataFrame, confirmed: Callable[[DataFrame], Data
                 .select(F.col("id").alias("a"), F.col("id2").alias("b"), "n", "m")
             )
         found = parked(confirmed(pairs.where(fits).select("a", "b").distinct()), f"links-{number}")
-        links = found if links is None else links.unionByName(found)
-        comp = components(links).select(F.col("node").alias("id"), F.col("component").alias("c"))
+        comp = _merged(comp, found)
     return comp
 
 
