@@ -2,7 +2,8 @@
 
 No join carries a broadcast hint: Spark broadcasts a side when its size is known
 to be below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, and
-adaptive execution splits the partitions of hot keys.
+adaptive execution splits the partitions of hot keys in inner and left joins.  It
+does not split those of full outer joins: there a hot key stays in one task.
 """
 
 from __future__ import annotations
