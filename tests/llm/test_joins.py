@@ -142,3 +142,10 @@ def test_quality(spark, folder, edge_docs, no_docs):
     assert quality.without_rejected(edge_docs, model).columns == edge_docs.columns
     assert quality.scored(no_docs, model).count() == 0
     assert not quality.trained(docs, labels.limit(0)).rules
+
+
+def test_runs_of_characters_are_counted_by_code_point(spark):
+    lines = ["", "ab", "abcde", "abcdef", "ab\r cdefé", "a😀b😀cd😀", "日本語日本語日本語日本"]
+    rows = spark.createDataFrame([(x,) for x in lines], "line string")
+    sizes = {r["line"]: r["n"] for r in rows.select("line", F.size(linededup.shingles_of(F.col("line"))).alias("n")).collect()}
+    assert sizes == {x: len({x[i : i + 5] for i in range(max(1, len(x) - 4))}) for x in lines}
