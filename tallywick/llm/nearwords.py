@@ -122,7 +122,7 @@ def linked_through_lists(lists: DataFrame, confirmed: Callable[[DataFrame], Data
     Leader rounds come first, then all pairs of a list between different components.
     """
     fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-    comp = None
+    comp = compared = None
     for number in range(LEADER_ROUNDS + 1):
         if comp is None:
             current = lists.withColumn("c", F.col("id"))
@@ -143,8 +143,11 @@ def linked_through_lists(lists: DataFrame, confirmed: Callable[[DataFrame], Data
                 .where((F.col("c") != F.col("c2")) & (F.col("id") < F.col("id2")) & fits)
                 .select(F.col("id").alias("a"), F.col("id2").alias("b"), "n", "m")
             )
-        found = parked(confirmed(pairs.where(fits).select("a", "b").distinct()), f"links-{number}")
-        comp = _merged(comp, found)
+        pairs = pairs.where(fits).select("a", "b").distinct()
+        # a pair that was compared is linked for good or never
+        pairs = parked(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), f"pairs-{number}")
+        compared = pairs if compared is None else compared.unionByName(pairs)
+        comp = _merged(comp, parked(confirmed(pairs), f"links-{number}"))
     return comp
 
 

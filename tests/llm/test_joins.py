@@ -144,8 +144,40 @@ def test_quality(spark, folder, edge_docs, no_docs):
     assert not quality.trained(docs, labels.limit(0)).rules
 
 
-def test_runs_of_characters_are_counted_by_code_point(spark):
-    lines = ["", "ab", "abcde", "abcdef", "ab\r cdefé", "a😀b😀cd😀", "日本語日本語日本語日本"]
-    rows = spark.createDataFrame([(x,) for x in lines], "line string")
-    sizes = {r["line"]: r["n"] for r in rows.select("line", F.size(linededup.shingles_of(F.col("line"))).alias("n")).collect()}
-    assert sizes == {x: len({x[i : i + 5] for i in range(max(1, len(x) - 4))}) for x in lines}
+@pytest.mark.parametrize("line", ["", "ab", "abcde", "abcdef", "ab\r cdefé", "a😀b😀cd😀", "日本語日本語日本語日本"])
+def test_runs_of_characters_are_counted_by_code_point(line):
+    assert len(linededup.shingles_of(line)) == len({line[i : i + 5] for i in range(max(1, len(line) - 4))})
+
+
+def test_signatures_of_long_lines_hold_every_part(monkeypatch):
+    line = "".join(random.Random(4).choices("abcdef ", k=2000))
+    whole = linededup._signed([line, "x", line])
+    monkeypatch.setattr(linededup, "BLOCK", 64)
+    assert (linededup._signed([line, "x", line]) == whole).all()
+    assert (whole[0] == whole[2]).all() and (whole[0] != whole[1]).any()
+
+
+def test_rows_without_ids_lose_their_own_lines_only(spark):
+    line = "the quick brown fox jumps over the lazy dog near the old river bank"
+    rows = [(None, f"a line that only this one has\n{line}"), (None, f"{line}\nsomething else that stands alone"), (1, line)]
+    texts = [r["text"] for r in linededup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert "a line that only this one has" in "\n".join(texts) and "something else that stands alone" in "\n".join(texts)
+    assert "\n".join(texts).count(line) == 1
+
+
+def test_like_lines_equal_brute_force(spark):
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdefghij", k=draw.randint(3, 8))) for _ in range(300)]
+    lines = []
+    for _ in range(40):
+        line = " ".join(draw.choices(words, k=20))
+        lines += [line, line.replace(line[5:8], "zq"), line + " tail", line]
+    kept = linededup.without_repeated_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in lines]
+    least = list(range(len(lines)))
+    for _ in range(4):
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 80 * len(a | b):
+                    least[i] = min(least[i], least[j])
+    assert {r["doc_id"] for r in kept.where("text != ''").collect()} == {i for i, x in enumerate(least) if i == x}
