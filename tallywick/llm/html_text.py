@@ -4,8 +4,9 @@ Markup is stripped to lines, one per block element.  A line weighs as many
 characters as it has outside links; lines of menus, adverts, forms and the like
 weigh nothing, and where a page marks its article, so do all others, while every
 line inside weighs at least the surge threshold.  Weights are summed over
-sliding windows of lines.  Text starts where a window surges over the threshold
-and ends where the weights dive to nothing; weighted lines between are kept.
+sliding windows of lines.  Text starts where a window surges over the threshold,
+or over the page's own largest window if that is less, and ends where the
+weights dive to nothing; lines between are kept, linked ones too.
 """
 
 from __future__ import annotations
@@ -33,16 +34,17 @@ BOILERPLATE = frozenset(
     "ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices notification popup promo promoted related replies share sharing sidebar social sponsor sponsored subscribe subscription topbar widget".split()
 )
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _CLOSERS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 
 
 def _is_boilerplate(attributes: str) -> bool:
     for match in _NAMES.finditer(attributes):
-        words = re.split(r"[\s_-]+", (match[1] or match[2] or match[3] or "").lower())
+        words = (match[1] or match[2] or match[3] or "").lower().split()  # whole: has-sidebar is no sidebar
         if not BOILERPLATE.isdisjoint(words):
             return True
-    return bool(re.search(r"(?<![\w-])(?:hidden|aria-hidden\s*=\s*[\"']?true)", attributes, re.I))
+    return any(name.lower() == "hidden" or (name.lower() == "aria-hidden" and value.strip("\"'").lower() == "true") for name, value in _ATTRIBUTE.findall(attributes))
 
 
 def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
@@ -124,14 +126,15 @@ def main_text(page: str | None) -> str:
             weights.append(max(SURGE, len(text)))
         else:
             weights.append(max(0, len(text) - linked))
+    windows = [sum(weights[i : i + WINDOW_LINES]) for i in range(len(weights))]
+    surge = min(SURGE, max(windows, default=0))
     kept, inside = [], False
-    for i, weight in enumerate(weights):
-        window = sum(weights[i : i + WINDOW_LINES])
-        if not inside and weight and window >= SURGE:  # surge
+    for i, (weight, window) in enumerate(zip(weights, windows)):
+        if not inside and weight and window >= surge:  # surge
             inside = True
         elif inside and not window:  # dive
             inside = False
-        if inside and weight:
+        if inside and not found[i][2] and (found[i][3] or not has_article):
             kept.append(found[i][0])
     return "\n".join(kept)
 

@@ -141,6 +141,26 @@ def test_page_without_an_article():
     assert "Side" not in html_text.main_text(page) and "Home" not in html_text.main_text(page)
 
 
+LONG = "Plain words of the text that go on and on, " * 3
+
+
+@pytest.mark.parametrize("attributes", ['style="overflow:hidden"', 'title="Hidden gems"', 'class="has-sidebar"', 'class="post-header"', 'data-hidden="no"'])
+def test_shown_elements_stay(attributes):
+    assert html_text.main_text(f"<body><div {attributes}><p>{LONG}</p></div></body>") == LONG.strip()
+    assert html_text.main_text(f"<article><div {attributes}><p>{LONG}</p></div></article>") == LONG.strip()
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'id="x" hidden=""', 'aria-hidden="true"', "aria-hidden=true", 'class="wide sidebar"'])
+def test_hidden_elements_go(attributes):
+    assert html_text.main_text(f"<body><div {attributes}><p>Gone.</p></div><p>{LONG}</p></body>") == LONG.strip()
+
+
+def test_short_page_and_linked_line():
+    assert html_text.main_text("<body><p>A short text.</p></body>") == "A short text."
+    page = f"<body><p>{LONG}</p><p><a href='/x'>A linked line</a></p><p>{LONG}</p></body>"
+    assert html_text.main_text(page).split("\n") == [LONG.strip(), "A linked line", LONG.strip()]
+
+
 def test_page_edges(spark):
     frame = spark.createDataFrame([(1, None, None), (None, "u", ""), (2, "u", PAGE), (2, "u", PAGE)], "page_id long, url string, html string")
     rows = html_text.extracted(frame.withColumn("text", frame["url"])).collect()
