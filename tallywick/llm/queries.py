@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallywick.llm import decontamination, fingerprints, html_text, licenses, linededup, nearwords, packing, quality, secrets, warc
+from tallywick.llm import decontamination, fingerprints, html_text, licenses, linededup, nearwords, packing, quality, secrets, toxicity, warc
 
 QUERIES = {
     "op8_line_dedup": linededup.op8_line_dedup,
@@ -15,5 +15,6 @@ QUERIES = {
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op9_minhash_near_dedup": nearwords.op9_minhash_near_dedup,
     "op7_secret_scan": secrets.op7_secret_scan,
+    "op11_toxicity": toxicity.op11_toxicity,
 }
 ORACLES: dict[str, str] = {}
