@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallywick.llm import decontamination, fingerprints, html_text, licenses, linededup, nearwords, packing, quality, secrets, toxicity, warc
+from tallywick.llm import decontamination, fingerprints, html_text, licenses, linededup, nearwords, packing, quality, secrets, spelling, toxicity, warc
 
 QUERIES = {
     "op8_line_dedup": linededup.op8_line_dedup,
@@ -16,5 +16,6 @@ QUERIES = {
     "op9_minhash_near_dedup": nearwords.op9_minhash_near_dedup,
     "op7_secret_scan": secrets.op7_secret_scan,
     "op11_toxicity": toxicity.op11_toxicity,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
 }
 ORACLES: dict[str, str] = {}
