@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallywick.llm import decontamination, fingerprints, html_text, licenses, linededup, nearwords, packing, quality, secrets, spelling, toxicity, warc
+from tallywick.llm import collocations, decontamination, fingerprints, html_text, licenses, linededup, nearwords, packing, quality, secrets, spelling, toxicity, warc
 
 QUERIES = {
     "op8_line_dedup": linededup.op8_line_dedup,
@@ -17,5 +17,6 @@ QUERIES = {
     "op7_secret_scan": secrets.op7_secret_scan,
     "op11_toxicity": toxicity.op11_toxicity,
     "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_phrase_collocations": collocations.ORACLE}
