@@ -1,44 +1,15 @@
-"""Size checks that decide between the short and the distributed way."""
+"""Broadcasts only where a bound on the side's size is known."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_GROUPS = 20_000
-MAX_VALUES_IN_A_TASK = 1_000_000
-# Spark holds the buffers of so many groups in a task before it sorts instead
-# (default of spark.sql.objectHashAggregate.sortBased.fallbackThreshold)
-GROUPS_IN_A_TASK = 128
-
-
-@dataclass(frozen=True)
-class Spread:
-    """How many groups a table has, and about how many distinct values the richest one."""
-
-    groups: int
-    distinct: int
-
-    @property
-    def few_groups(self) -> bool:
-        return self.groups <= MAX_BROADCAST_GROUPS
-
-    def values_in_a_task(self) -> int:
-        return self.distinct * min(self.groups, GROUPS_IN_A_TASK)
-
-
-def value_spread(df: DataFrame, groups: Sequence[str], value: str) -> Spread:
-    """Counted on Spark with fixed-size sketches; one row comes back."""
-    for key in groups:
-        df = df.where(F.col(key).isNotNull())
-    sketches = df.groupBy(*groups).agg(F.approx_count_distinct(value).alias("distinct"))
-    row = sketches.agg(F.count(F.lit(1)).alias("groups"), F.max("distinct").alias("distinct")).first()
-    return Spread(row["groups"], row["distinct"] or 0)
-
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
-    """Broadcast a side whose bound has been checked, else leave it to a shuffle join."""
+    """Broadcast a side whose bound the caller has proven, else leave the choice to the planner.
+
+    Adaptive execution still turns a join into a broadcast when the measured
+    size of a side is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+    """
     return F.broadcast(df) if small else df

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywick.functions.values import not_nan
 from tallywick.operators.association import correlation_matrix, lower_triangle
-from tallywick.operators.bounds import broadcast_if, value_spread
+
 from tallywick.operators.grouping import crosstab, row_percent
 from tallywick.operators.profiling import FENCE, QUARTILES, frequencies, per_column, with_fences
 from tallywick.operators.ranking import quantiles, stacked
@@ -61,9 +61,8 @@ def box_statistics(rows: DataFrame, groups: Sequence[str], value: str = "value")
     """Quartiles, whiskers (last values inside the fences) and outlier counts per group."""
     groups = list(groups)
     present = rows.select(*groups, not_nan(F.col(value)).alias("value")).na.drop()
-    spread = value_spread(present, groups, "value")
-    boxes = with_fences(quantiles(present, groups, QUARTILES, spread=spread), FENCE)
-    placed = present.join(broadcast_if(boxes, spread.few_groups), groups)
+    boxes = with_fences(quantiles(present, groups, QUARTILES), FENCE)
+    placed = present.join(boxes, groups)
     inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     box = [F.max(c).alias(c) for c in ("q1", "median", "q3")]
     return placed.groupBy(*groups).agg(
@@ -79,9 +78,8 @@ def box_outliers(rows: DataFrame, groups: Sequence[str], value: str = "value") -
     """The values beyond the whiskers, one row per value and how often it occurs."""
     groups = list(groups)
     present = rows.select(*groups, not_nan(F.col(value)).alias("value")).na.drop()
-    spread = value_spread(present, groups, "value")
-    boxes = with_fences(quantiles(present, groups, QUARTILES, spread=spread), FENCE)
-    placed = present.join(broadcast_if(boxes, spread.few_groups), groups)
+    boxes = with_fences(quantiles(present, groups, QUARTILES), FENCE)
+    placed = present.join(boxes, groups)
     beyond = placed.where(~F.col("value").between(F.col("low_fence"), F.col("high_fence")))
     return beyond.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("n"))
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywick.functions.values import not_nan
-from tallywick.operators.bounds import broadcast_if, value_spread
 from tallywick.operators.ranking import quantiles
 
 
@@ -67,7 +66,6 @@ def group_summary(
     The std of a single value is 0.  Rows without group or value do not count.
     """
     rows = df.select(group, not_nan(F.col(value)).alias("value")).na.drop()
-    spread = value_spread(rows, [group], "value")
     measures = [
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
@@ -75,8 +73,8 @@ def group_summary(
     ]
     if limits:
         measures += [F.min("value").alias("min"), F.max("value").alias("max")]
-    medians = quantiles(rows, [group], {"median": 0.5}, spread=spread)
-    summary = rows.groupBy(group).agg(*measures).join(broadcast_if(medians, spread.few_groups), group)
+    medians = quantiles(rows, [group], {"median": 0.5})
+    summary = rows.groupBy(group).agg(*measures).join(medians, group)
     order = ["n", "mean", "median", "std"] + (["min", "max"] if limits else [])
 
     def shown(name: str) -> Column:
@@ -100,8 +98,7 @@ def group_summaries(df: DataFrame, pairs: Sequence[tuple[str, str]], labels: Map
     )
     long = df.select(F.inline(rows)).na.drop()
     keys = ["variable", "grouping", "category"]
-    spread = value_spread(long, keys, "value")
-    medians = quantiles(long, keys, {"median": 0.5}, spread=spread)
+    medians = quantiles(long, keys, {"median": 0.5})
     return (
         long.groupBy(*keys)
         .agg(
@@ -109,6 +106,6 @@ def group_summaries(df: DataFrame, pairs: Sequence[tuple[str, str]], labels: Map
             F.avg("value").alias("mean"),
             F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std"),
         )
-        .join(broadcast_if(medians, spread.few_groups), keys)
+        .join(medians, keys)
         .select(*keys, "n", "mean", "median", "std")
     )

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywick.functions.values import not_nan
-from tallywick.operators.bounds import value_spread
 from tallywick.operators.ranking import quantiles, smallest_mode, stacked, value_counts
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -82,13 +81,12 @@ def outlier_counts(counts: DataFrame, fences: DataFrame) -> DataFrame:
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Full numeric profile, one row per column.
 
-    Three scans: a size check, the moments in one aggregation, and one shuffle of
+    Two scans, both lazy: the moments in one aggregation, and one shuffle of
     (variable, value) counts that mode, quartiles and outlier counts share.
     """
     rows = stacked(df, columns)
     counts = value_counts(rows, ["variable"])
-    spread = value_spread(rows, ["variable"], "value")
-    quartiles = with_fences(quantiles(counts, ["variable"], QUARTILES, weight="n", spread=spread))
+    quartiles = with_fences(quantiles(counts, ["variable"], QUARTILES, weight="n"))
     parts = [quartiles, smallest_mode(counts, ["variable"]), outlier_counts(counts, quartiles)]
     summary = moments(df, columns)
     for part in parts:  # one row per listed variable on each side

@@ -1,13 +1,14 @@
 """Exact quantiles, modes and average ranks without a global sort.
 
 Spark's ``percentile``, ``median`` and ``mode`` keep every distinct value of a
-group in the memory of one task.  Where a count of the distinct values shows
-that they fit, ``percentile`` runs over value counts.  Beyond that bound bucket
-totals are sorted instead of values: first about 1e5 coarse buckets, then the
-fine buckets of the few coarse ones that hold a wanted rank, then the values of
+group in the memory of one task.  Here bucket totals are sorted instead of
+values: first at most about 270,000 coarse buckets per group, then the fine
+buckets of the few coarse ones that hold a wanted rank, then the values of
 those fine buckets.  All three steps are map-side combined counts, so no step
 shuffles the rows themselves and a value that fills a third of the table is one
-row after the first combine.
+row after the first combine.  The plan is one lazy DataFrame whatever the
+data: nothing is counted or collected while it is built, and the planner (with
+adaptive execution) chooses broadcasts from measured sizes.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallywick.functions.ordering import coarse_bucket, fine_bucket
 from tallywick.functions.values import not_nan
-from tallywick.operators.bounds import MAX_VALUES_IN_A_TASK, Spread, broadcast_if, value_spread
+from tallywick.operators.bounds import broadcast_if
 
 
 def stacked(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -34,7 +35,7 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str = "value") ->
     return present.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def smallest_mode(counts: DataFrame, groups: Sequence[str], value: str = "value", small: bool = True) -> DataFrame:
+def smallest_mode(counts: DataFrame, groups: Sequence[str], value: str = "value", small: bool = False) -> DataFrame:
     """Most frequent value of every group, the smallest one on ties.
 
     Two hash aggregations of the counts; picking a whole record per group would
@@ -73,16 +74,13 @@ def quantiles(
     probabilities: Mapping[str, float],
     value: str = "value",
     weight: str | None = None,
-    spread: Spread | None = None,
-    bound: int = MAX_VALUES_IN_A_TASK,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group.
 
     ``probabilities`` maps output names to shares.  ``weight`` names a column of
     repeat counts, as in :func:`value_counts`, whose values are never missing.
-    ``spread`` is the size check of the same table if the caller has made it;
-    ``bound`` is the number of distinct values that may meet in one task.
-    Rows whose group key is NULL are left out.
+    Rows whose group key is NULL are left out.  No job runs while the plan is
+    built, and no task holds more than one bucket's values.
     """
     groups = list(groups)
     source = df.select(
@@ -94,23 +92,10 @@ def quantiles(
         source = source.where(F.col(key).isNotNull())
     if weight is None:  # counted values are present already
         source = source.where(F.col("v").isNotNull())
-    spread = spread or value_spread(source, groups, "v")
-    if spread.values_in_a_task() <= bound:
-        return _short_quantiles(source, groups, probabilities)
-    return _bucket_quantiles(source, groups, probabilities, spread.few_groups)
+    return _bucket_quantiles(source, groups, probabilities)
 
 
-def _short_quantiles(source: DataFrame, groups: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
-    """Quantiles of few distinct values: ``percentile`` over their counts."""
-    counts = source.groupBy(*groups, "v").agg(F.sum("w").alias("n"))
-    shares = F.array(*[F.lit(float(p)) for p in probabilities.values()])
-    picked = counts.groupBy(*groups).agg(F.percentile("v", shares, F.col("n")).alias("picked"))
-    return picked.select(*groups, *[F.get("picked", F.lit(i)).alias(n) for i, n in enumerate(probabilities)])
-
-
-def _bucket_quantiles(
-    source: DataFrame, groups: Sequence[str], probabilities: Mapping[str, float], small: bool
-) -> DataFrame:
+def _bucket_quantiles(source: DataFrame, groups: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
     """Quantiles of any number of distinct values, in three levels of buckets."""
     shares = list(probabilities.values())
     source = source.withColumn("fine", fine_bucket(F.col("v"))).withColumn(
@@ -124,14 +109,14 @@ def _bucket_quantiles(
     coarse = _holding(coarse, groups, "coarse", shares).select(*groups, "coarse", "before", "total")
 
     fine = (
-        source.join(broadcast_if(coarse, small), [*groups, "coarse"])
+        source.join(coarse, [*groups, "coarse"])
         .groupBy(*groups, "coarse", "fine")
         .agg(F.sum("w").alias("n"), F.max("before").alias("before"), F.max("total").alias("total"))
     )
     fine = _holding(fine, [*groups, "coarse"], "fine", shares).select(*groups, "fine", "before", "total")
 
     values = (
-        source.join(broadcast_if(fine, small), [*groups, "fine"])
+        source.join(fine, [*groups, "fine"])
         .groupBy(*groups, "fine", "v")
         .agg(F.sum("w").alias("n"), F.max("before").alias("before"), F.max("total").alias("total"))
     )
@@ -169,7 +154,7 @@ def quick_quantiles(
     return picked.select(*groups, *[F.get("picked", F.lit(i)).alias(n) for i, n in enumerate(probabilities)])
 
 
-def average_ranks(counts: DataFrame, groups: Sequence[str], value: str = "value", small: bool = True) -> DataFrame:
+def average_ranks(counts: DataFrame, groups: Sequence[str], value: str = "value", small: bool = False) -> DataFrame:
     """Average rank of every value: ``(groups..., value, rank, total)``.
 
     ``counts`` comes from :func:`value_counts`.  The running count is built in

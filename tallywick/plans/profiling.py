@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from tallywick.operators import profiling as ops
-from tallywick.operators.bounds import value_spread
 from tallywick.operators.charts import category_bars
 from tallywick.operators.ranking import quantiles, quick_quantiles, smallest_mode, stacked, value_counts
 from tallywick.plans.registry import (
@@ -61,9 +60,9 @@ def numeric_summary(spark, folder):
 
 @query("quartiles_of_many_values", steady_query(f"{LONG} {QUARTILES_SQL}", ["variable"], ["q1", "median", "q3"]))
 def quartiles_of_many_values(spark, folder):
-    """The way taken when the distinct values of a column are too many for one task."""
-    long = stacked(lineitem_with_gaps(spark, folder), NUMBERS)
-    return steady(quantiles(long, ["variable"], ops.QUARTILES, bound=0))
+    """The same quartiles from value counts: each distinct value once, with its count as weight."""
+    counts = value_counts(stacked(lineitem_with_gaps(spark, folder), NUMBERS), ["variable"])
+    return steady(quantiles(counts, ["variable"], ops.QUARTILES, weight="n"))
 
 
 @query("quartiles", steady_query(f"{LONG} {QUARTILES_SQL}", ["variable"], ["q1", "median", "q3"]))
@@ -102,7 +101,7 @@ def outlier_counts(spark, folder):
         stacked(table(spark, folder, "orders"), ["o_totalprice"])
     )
     counts = value_counts(long, ["variable"])
-    fences = ops.with_fences(quantiles(counts, ["variable"], ops.QUARTILES, weight="n", spread=value_spread(long, ["variable"], "value")))
+    fences = ops.with_fences(quantiles(counts, ["variable"], ops.QUARTILES, weight="n"))
     return ops.outlier_counts(counts, fences)
 
 

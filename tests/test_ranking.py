@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywick.functions.ordering import coarse_bucket, fine_bucket
 from tallywick.operators import ranking
-from tallywick.operators.bounds import MAX_VALUES_IN_A_TASK, Spread, value_spread
+from tallywick.operators import charts, grouping, profiling
 
 SHARES = {"low": 0.0, "q1": 0.25, "median": 0.5, "p90": 0.9, "high": 1.0}
 
@@ -26,24 +26,19 @@ def samples():
     yield "close", [1.0 + i * 2**-52 for i in range(300)]
 
 
-WAYS = [0, MAX_VALUES_IN_A_TASK]  # always buckets, or the short way
-
-
-@pytest.mark.parametrize("bound", WAYS)
 @pytest.mark.parametrize("name, values", list(samples()), ids=[n for n, _ in samples()])
-def test_quantiles_equal_numpy(spark, name, values, bound):
+def test_quantiles_equal_numpy(spark, name, values):
     rows = spark.createDataFrame([("a", v) for v in values], "g string, value double").repartition(5)
-    found = ranking.quantiles(rows, ["g"], SHARES, bound=bound).first()
+    found = ranking.quantiles(rows, ["g"], SHARES).first()
     for key, share in SHARES.items():
         assert found[key] == pytest.approx(np.quantile(values, share), rel=1e-13, abs=1e-320), key
 
 
-@pytest.mark.parametrize("bound", WAYS)
-def test_quantiles_by_group_with_gaps_and_infinities(spark, bound):
+def test_quantiles_by_group_with_gaps_and_infinities(spark):
     data = [(i % 3, float(i * i % 17)) for i in range(60)]
     data += [(0, None), (None, 1.0), (1, float("nan")), (2, math.inf), (2, -math.inf)]
     rows = spark.createDataFrame(data, "g int, value double")
-    found = {r["g"]: r for r in ranking.quantiles(rows, ["g"], SHARES, bound=bound).collect()}
+    found = {r["g"]: r for r in ranking.quantiles(rows, ["g"], SHARES).collect()}
     assert set(found) == {0, 1, 2}
     frame = pd.DataFrame(data, columns=["g", "value"]).dropna()
     assert (found[2]["low"], found[2]["high"]) == (-math.inf, math.inf)  # numpy has NaN next to infinity
@@ -52,28 +47,43 @@ def test_quantiles_by_group_with_gaps_and_infinities(spark, bound):
             assert found[g][key] == pytest.approx(part["value"].quantile(SHARES[key])), (g, key)
 
 
-@pytest.mark.parametrize("bound", WAYS)
-def test_weights_stand_for_repeats(spark, bound):
+def test_weights_stand_for_repeats(spark):
     rows = spark.createDataFrame([("a", 1.0, 3), ("a", 4.0, 1), ("a", 2.0, 2)], "g string, value double, n int")
-    found = ranking.quantiles(rows, ["g"], SHARES, weight="n", bound=bound).first()
+    found = ranking.quantiles(rows, ["g"], SHARES, weight="n").first()
     assert found["median"] == np.quantile([1, 1, 1, 2, 2, 4], 0.5)
     assert found["q1"] == np.quantile([1, 1, 1, 2, 2, 4], 0.25)
 
 
-def test_many_groups_take_the_shuffle_join(spark):
+def test_many_groups(spark):
     rows = spark.range(4000).select((F.col("id") % 1000).alias("g"), F.col("id").cast("double").alias("value"))
-    plain = ranking.quantiles(rows, ["g"], {"median": 0.5}).orderBy("g").collect()
-    many = Spread(groups=10**9, distinct=10**9)
-    assert not many.few_groups and value_spread(rows, ["g"], "value").groups == 1000
-    shuffled = ranking.quantiles(rows, ["g"], {"median": 0.5}, spread=many)
-    assert shuffled.orderBy("g").collect() == plain
-    assert plain[5]["median"] == np.median([5, 1005, 2005, 3005])
-
-
-@pytest.mark.parametrize("bound", WAYS)
-def test_empty_input_gives_no_rows(spark, bound):
+    found = ranking.quantiles(rows, ["g"], {"median": 0.5}).orderBy("g").collect()
+    assert len(found) == 1000 and found[5]["median"] == np.median([5, 1005, 2005, 3005])
+
+
+def test_no_job_runs_while_plans_are_built(spark):
+    """Quantile plans are lazy: building them starts no Spark job."""
+    rows = spark.range(5000).select((F.col("id") % 7).alias("g"), (F.col("id") * 0.5).alias("value"), (F.col("id") % 11).alias("other"))
+    context = spark.sparkContext
+    context.setJobGroup("planning-only", "building plans")
+    try:
+        built = [
+            ranking.quantiles(rows, ["g"], SHARES),
+            profiling.numeric_summary(rows, ["value", "other"]),
+            grouping.group_summary(rows, "g", "value", limits=True),
+            grouping.group_summaries(rows, [("value", "g"), ("other", "g")]),
+            charts.box_statistics(rows, ["g"]),
+            charts.box_outliers(rows, ["g"]),
+        ]
+        assert context.statusTracker().getJobIdsForGroup("planning-only") == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    median = built[0].where("g = 3").first()["median"]
+    assert median == pytest.approx(np.median([i * 0.5 for i in range(5000) if i % 7 == 3]))
+
+
+def test_empty_input_gives_no_rows(spark):
     rows = spark.createDataFrame([], "g string, value double")
-    assert ranking.quantiles(rows, ["g"], SHARES, bound=bound - 1).collect() == []
+    assert ranking.quantiles(rows, ["g"], SHARES).collect() == []
 
 
 def test_bucket_order_and_size(spark):
