@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywick.functions.tails import correlation_p
 from tallywick.functions.values import not_nan
-from tallywick.operators.ranking import average_ranks
+from tallywick.operators.ranking import range_ranks
 from tallywick.operators.shaping import listed
 
 Pair = tuple[str, str]
@@ -48,8 +48,11 @@ def pearson(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
 def spearman(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     """Rank correlation with average ranks for ties, and its two-sided p.
 
-    Rows are combined to (x, y) counts before anything is joined; both sides
-    take their ranks from running totals of value counts.
+    Rows are combined to (x, y) cell counts first.  Both sides of all pairs are
+    ranked in one pass: their value counts are stacked and ranked by a prefix
+    sum over range partitions (:func:`range_ranks`).  Twice a rank is an
+    integer, and so is twice its distance from the mean rank, so the sums
+    behind rho are exact (decimal) integers.
     """
     rows = []
     for pair in pairs:
@@ -61,24 +64,35 @@ def spearman(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
         .groupBy("x", "y", "a", "b")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-
-    def ranks(side: str) -> DataFrame:
-        counts = cells.groupBy("x", "y", side).agg(F.sum("c").alias("n"))
-        return average_ranks(counts, ["x", "y"], side).withColumnsRenamed(
-            {"rank": f"rank_{side}", "total": f"total_{side}"}
-        )
-
-    ranked = cells.join(ranks("a"), ["x", "y", "a"]).join(ranks("b").drop("total_b"), ["x", "y", "b"])
-    # the mean of average ranks is known exactly, so deviations need no extra pass
-    middle = (F.col("total_a") + 1) / 2
-    da, db = F.col("rank_a") - middle, F.col("rank_b") - middle
+    sides = F.array(
+        F.struct(F.lit("a").alias("side"), F.col("a").alias("va"), F.lit(None).cast(cells.schema["b"].dataType).alias("vb")),
+        F.struct(F.lit("b").alias("side"), F.lit(None).cast(cells.schema["a"].dataType).alias("va"), F.col("b").alias("vb")),
+    )
+    # each cell twice, once per side; ranked once and paired again by cell
+    halves = cells.select("x", "y", "a", "b", "c", F.inline(sides))
+    counts = halves.groupBy("x", "y", "side", "va", "vb").agg(F.sum("c").alias("n"))
+    ranks = range_ranks(counts, ["x", "y", "side"], ["va", "vb"]).withColumnsRenamed({"va": "ra", "vb": "rb", "side": "rside", "x": "rx", "y": "ry"})
+    matched = halves.join(
+        ranks,
+        (halves.x == ranks.rx) & (halves.y == ranks.ry) & (halves.side == ranks.rside) & halves.va.eqNullSafe(ranks.ra) & halves.vb.eqNullSafe(ranks.rb),
+    )
+    distance = F.col("twice_rank") - F.col("total") - 1
+    ranked = matched.groupBy("x", "y", "a", "b").agg(
+        F.max("c").alias("c"),
+        F.max(F.when(F.col("side") == "a", distance)).alias("da"),
+        F.max(F.when(F.col("side") == "b", distance)).alias("db"),
+        F.max("total").alias("total"),
+    )
+    exact = "decimal(38, 0)"
+    da, db, c = (F.col(n).cast(exact) for n in ("da", "db", "c"))
     sums = ranked.groupBy("x", "y").agg(
-        F.max("total_a").alias("n"),
-        F.sum(F.col("c") * da * db).alias("ab"),
-        F.sum(F.col("c") * da * da).alias("aa"),
-        F.sum(F.col("c") * db * db).alias("bb"),
+        F.max("total").alias("n"),
+        F.sum(c * da * db).cast("double").alias("ab"),
+        F.sum(c * da * da).cast("double").alias("aa"),
+        F.sum(c * db * db).cast("double").alias("bb"),
     )
     rho = F.try_divide(F.col("ab"), F.sqrt("aa") * F.sqrt("bb"))
+    # one row per listed pair: a bound known before the job runs
     asked = listed(df.sparkSession, ["x", "y"], pairs).join(F.broadcast(sums), ["x", "y"], "left")
     rows = asked.select("x", "y", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n") >= 3, rho).alias("rho"))
     return rows.withColumn("p", correlation_p("rho", "n"))

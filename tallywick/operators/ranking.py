@@ -188,3 +188,40 @@ def average_ranks(counts: DataFrame, groups: Sequence[str], value: str = "value"
     ranked = keyed.select(*groups, "fine", value, "n").join(fine, [*groups, "fine"])
     first = F.col("fine_before") + before([*groups, "fine"], value)
     return ranked.select(*groups, value, (first + (F.col("n") + 1) / 2).alias("rank"), "total")
+
+
+def range_ranks(counts: DataFrame, groups: Sequence[str], values: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Average ranks as a prefix sum over range partitions: ``(groups..., values..., n, twice_rank, total)``.
+
+    ``counts`` holds one row per distinct ``values`` of a group with its count
+    ``n``; rows are ordered by ``values`` as given (NULLs first).  The rows are
+    range-partitioned on ``(groups, values)`` into ``parts`` ranges (default:
+    ``spark.sql.shuffle.partitions``), so a range holds about ``1 / parts`` of the
+    distinct values whatever their counts.  Inside a range a running sum gives
+    each value the count before it; the totals of the ranges, at most ``parts``
+    rows per group, give each range the count of the ranges before it.
+    ``twice_rank`` is twice the average rank, an integer: ``2 before + n + 1``.
+    """
+    groups, values = list(groups), list(values)
+    spark = counts.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counts.repartitionByRange(parts, *[F.col(c).asc_nulls_first() for c in [*groups, *values]]).withColumn(
+        "range", F.spark_partition_id()
+    )
+    within = Window.partitionBy("range", *groups)
+    running = within.orderBy(*[F.col(c).asc_nulls_first() for c in values]).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.select(
+        *groups, *values, "n", "range",
+        F.coalesce(F.sum("n").over(running), F.lit(0)).alias("inside"),
+        F.sum("n").over(within).alias("range_total"),
+    )
+    ranges = local.groupBy("range", *groups).agg(F.max("range_total").alias("range_total"))
+    earlier = Window.partitionBy(*groups).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select(
+        "range", *groups,
+        F.coalesce(F.sum("range_total").over(earlier), F.lit(0)).alias("offset"),
+        F.sum("range_total").over(Window.partitionBy(*groups)).alias("total"),
+    )
+    return local.join(offsets, ["range", *groups]).select(
+        *groups, *values, "n", (2 * (F.col("offset") + F.col("inside")) + F.col("n") + 1).alias("twice_rank"), "total"
+    )

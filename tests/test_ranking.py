@@ -118,3 +118,27 @@ def test_quick_quantiles_are_close(spark):
     found = ranking.quick_quantiles(rows, ["g"], SHARES).first()
     for key, share in SHARES.items():
         assert found[key] == pytest.approx(share * 10_000, abs=3)
+
+
+def test_range_ranks_equal_pandas_across_ranges(spark):
+    rng = random.Random(8)
+    data = [(rng.choice("pq"), rng.choice([1.0] * 50 + [None] + [float(i) for i in range(200)])) for _ in range(3000)]
+    rows = spark.createDataFrame(data, "g string, value double")
+    counts = rows.groupBy("g", "value").agg(F.count(F.lit(1)).alias("n"))
+    got = {(r["g"], r["value"]): (r["twice_rank"] / 2, r["total"]) for r in ranking.range_ranks(counts, ["g"], ["value"], parts=7).collect()}
+    frame = pd.DataFrame(data, columns=["g", "value"])
+    frame["key"] = frame["value"].fillna(-math.inf)
+    frame["rank"] = frame.groupby("g")["key"].rank(method="average")
+    expected = {(g, None if math.isinf(k) else k): (r, (frame["g"] == g).sum()) for g, k, r in frame[["g", "key", "rank"]].drop_duplicates().itertuples(index=False)}
+    assert got == expected
+
+
+def test_spearman_plan_shuffles_at_most_ten_times(spark):
+    from tallywick.operators import association
+
+    rows = spark.range(2000).select((F.col("id") % 37).alias("a"), (F.col("id") % 101).cast("double").alias("b"), (F.col("id") * 7 % 13).alias("c"))
+    found = association.spearman(rows, [("a", "b"), ("b", "c")])
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    shuffles = [line for line in final.split("\n") if "Exchange " in line and "Broadcast" not in line and "Reused" not in line]
+    assert 0 < len(shuffles) <= 10
