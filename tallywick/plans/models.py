@@ -287,12 +287,12 @@ def embedding_loadings(spark, folder):
 @query("clusters")
 def clusters(spark, folder):
     vectors = comp.prepared(*_vectors(spark, folder), ["vec_id"])
-    return comp.assigned(comp.best_clusters(vectors, 3, restarts=3), vectors, ["vec_id"])
+    return comp.assigned(comp.best_clusters(vectors, 3), vectors, ["vec_id"])
 
 
 @query("cluster_sweep")
 def cluster_sweep(spark, folder):
-    return comp.cluster_sweep(comp.prepared(*_vectors(spark, folder), ["vec_id"]), restarts=2)
+    return comp.cluster_sweep(comp.prepared(*_vectors(spark, folder), ["vec_id"]))
 
 
 @query(
@@ -332,5 +332,5 @@ def cluster_export(spark, folder):
     rows, scaling = _vectors(spark, folder)
     scores = comp.component_scores(comp.fit_components(rows, scaling), rows, ["vec_id"])
     vectors = comp.prepared(rows, scaling, ["vec_id"])
-    found = comp.assigned(comp.best_clusters(vectors, 3, restarts=3), vectors, ["vec_id"])
+    found = comp.assigned(comp.best_clusters(vectors, 3), vectors, ["vec_id"])
     return comp.cluster_export(scores, found, "vec_id")

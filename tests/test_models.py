@@ -162,7 +162,8 @@ def test_clusters(blobs):
     found = np.array([r["cluster"] for r in comp.assigned(model, vectors, ["key"]).orderBy("key").collect()])
     distances = ((points[:, None] - centres) ** 2).sum(axis=2)
     assert (distances.argmin(axis=1) == found).all()
-    assert model.summary.trainingCost == pytest.approx(distances.min(axis=1).sum())
+    assert model.cost == pytest.approx(distances.min(axis=1).sum())
+    assert model.converged and model.rounds >= 1
     assert all(len(set(found[i : i + 40])) == 1 for i in (0, 40, 80))
 
 
@@ -184,6 +185,20 @@ def test_sweep_and_export(blobs):
     assert [r["k"] for r in table] == [2, 3, 4]
     assert max(table, key=lambda r: r["silhouette"])["k"] == 3
     assert table[0]["inertia"] > table[1]["inertia"]
+    assert all(r["converged"] for r in table)
     scores = vectors.select("key", F.lit(0.5).alias("pc1"))
     out = comp.cluster_export(scores, vectors.select("key", F.col("label").alias("cluster")), "key")
     assert out.columns == ["key", "pc1", "cluster"] and out.count() == 120
+
+
+def test_batched_fits_equal_spark_ml(blobs):
+    """Every restart of every k reaches the inertia Spark ML's k-means reaches from the same data."""
+    from pyspark.ml.clustering import KMeans
+
+    _, vectors = blobs
+    fits = comp.batched_kmeans(vectors, [2, 3], restarts=4, seed=3)
+    assert len(fits) == 8 and all(f.converged for f in fits)
+    for k in (2, 3):
+        theirs = min(KMeans(k=k, seed=s, tol=1e-6).fit(vectors).summary.trainingCost for s in range(4))
+        ours = min(f.cost for f in fits if f.k == k)
+        assert ours == pytest.approx(theirs, rel=1e-9)
