@@ -3,7 +3,7 @@
 No join carries a broadcast hint: Spark broadcasts a side when its size is known
 to be below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, and
 adaptive execution splits the partitions of hot keys in inner and left joins.  It
-does not split those of full outer joins: there a hot key stays in one task.
+does not split those of full outer joins; :func:`full_chain` salts them itself.
 """
 
 from __future__ import annotations
@@ -50,6 +50,68 @@ def chained(parts: Mapping[str, DataFrame], key: str, how: str = "inner", null_s
     return reduce(lambda a, b: joined(a, b, key, how, null_safe), tables)
 
 
+#: rows of one key's most repeated part that one task joins at most (salted beyond)
+ROWS_PER_TASK = 100_000
+
+
+def _tagged(tables: Mapping[str, DataFrame], key: str) -> dict[str, DataFrame]:
+    """Each part as ``(key, <part>)``: its other columns packed in one struct named after it."""
+    return {name: t.select(key, F.struct(*[c for c in t.columns if c != key]).alias(name)) for name, t in tables.items()}
+
+
+def salted_parts(tables: Mapping[str, DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Rows of keys repeated in some part, with a ``salt``: the most repeated part of a key is dealt over
+    ``ceil(most / rows_per_task)`` salts, the other parts' rows of that key are copied to each of them."""
+    counts = reduce(
+        lambda a, b: a.unionByName(b),
+        [t.groupBy(key).agg(F.count(F.lit(1)).alias("m"), F.lit(name).alias("part")) for name, t in tables.items()],
+    )
+    repeated = (
+        counts.groupBy(key)
+        .agg(F.max_by("part", F.struct("m", "part")).alias("spread"), F.max("m").alias("most"))
+        .where(F.col("most") > 1)
+        .select(key, "spread", F.ceil(F.col("most") / rows_per_task).cast("int").alias("salts"))
+    )
+    out = {}
+    for name, t in tables.items():
+        keyed = t.join(repeated, key)
+        dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("salts")).cast("int")
+        out[name] = keyed.select(
+            *t.columns, F.when(F.col("spread") == name, F.array(dealt)).otherwise(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salts")
+        ).select(*t.columns, F.explode("salts").alias("salt"))
+    return out, repeated.select(key)
+
+
+def full_chain(parts: Mapping[str, DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The full outer join of all parts on one key, with hot keys split over tasks.
+
+    Rows without a key are left out, colliding names told apart (as in
+    :func:`chained`).  Keys found at most once in every part, nearly all of
+    them, take one shuffle: the parts are stacked and each key's row is picked
+    per part.  Keys repeated in some part take the exact way, a full outer join
+    on ``(key, salt)``: the most repeated part of the key is dealt over salts of
+    at most ``rows_per_task`` rows, and the other parts' rows of the key are
+    copied to every salt, so every pair of rows still meets exactly once.
+    """
+    named = unique_names(parts, key)
+    tables = {name: part.na.drop(subset=[key]) for name, part in named.items()}
+    salted, repeated = salted_parts(tables, key, rows_per_task)
+    tagged = _tagged(tables, key)
+    empty = {name: F.lit(None).cast(t.schema[name].dataType) for name, t in tagged.items()}
+    stacked = reduce(
+        lambda a, b: a.unionByName(b),
+        [t.select(key, *[F.col(n) if n == name else empty[n].alias(n) for n in tagged]) for name, t in tagged.items()],
+    )
+    single = stacked.join(repeated, key, "left_anti").groupBy(key).agg(*[F.first(n, ignorenulls=True).alias(n) for n in tagged])
+    columns = [F.col(f"{name}.{c}").alias(c) for name, t in tables.items() for c in t.columns if c != key]
+    many = reduce(lambda a, b: a.join(b, [key, "salt"], "full"), [_tagged_salted(t, key, name) for name, t in salted.items()])
+    return single.select(key, *columns).unionByName(many.select(key, *columns))
+
+
+def _tagged_salted(t: DataFrame, key: str, name: str) -> DataFrame:
+    return t.select(key, "salt", F.struct(*[c for c in t.columns if c not in (key, "salt")]).alias(name))
+
+
 def wide_from_parts(parts: Mapping[str, DataFrame], key: str, value: str) -> DataFrame:
     """Full outer join of ``(key, value)`` parts with one row per key, in one shuffle.
 

@@ -57,7 +57,7 @@ def inner_chain(spark, folder):
     ),
 )
 def outer_chain(spark, folder):
-    return steady(ops.chained(_customer_parts(spark, folder), "custkey", how="full"))
+    return steady(ops.full_chain(_customer_parts(spark, folder), "custkey"))
 
 
 @query(

@@ -156,3 +156,20 @@ def test_run_facts_and_results_as_json(spark, scratch):
     lines = as_json(results)
     assert all("dof2" in json.loads(r["json"]) for r in lines.collect())
     assert rows(from_json_rows(lines, "json", results.schema)) == rows(results)
+
+
+def test_full_chain_equals_outer_joins_and_splits_a_hot_key(spark):
+    from collections import Counter
+
+    hot = [(0, float(i), "x") for i in range(5000)]
+    a = spark.createDataFrame(hot + [(k, k * 1.0, "a") for k in range(1, 300)] + [(None, 1.0, "n")], "k int, v double, tag string")
+    b = spark.createDataFrame([(0, "b0"), (0, "b1"), (0, "b2")] + [(k, f"b{k}") for k in range(200, 400)] + [(250, "again")], "k int, w string")
+    c = spark.createDataFrame([(k, k, "c") for k in range(0, 500, 7)], "k int, v int, tag string")
+    parts = {"a": a, "b": b, "c": c}
+    got = Counter(tuple(r) for r in joining.full_chain(parts, "k", rows_per_task=700).collect())
+    want = Counter(tuple(r) for r in joining.chained(parts, "k", how="full").collect())
+    assert got == want and sum(got.values()) > 5000 * 3
+    named = joining.unique_names(parts, "k")
+    salted, _ = joining.salted_parts({n: p.na.drop(subset=["k"]) for n, p in named.items()}, "k", rows_per_task=700)
+    per_salt = Counter((r["k"], r["salt"]) for r in salted["a"].collect())
+    assert max(per_salt.values()) <= 900 and len([s for k, s in per_salt if k == 0]) == 8
