@@ -11,7 +11,7 @@ edit apart exactly when
   code point), or
 * a gap of one equals a gap of the other (one replaced code point),
 
-so one equi-join on integer pairs finds every neighbour and nothing else: two
+so one grouping by integer pairs finds every neighbour and nothing else: two
 nodes fix the prefix and suffix strings.  All words that share a pair differ in
 one code point only, so a pair holds at most as many words as the alphabet has
 letters (90 here): no group grows with the data.
@@ -63,30 +63,57 @@ def numbered(strings: DataFrame, name: str) -> DataFrame:
 
 
 def neighbours(words: DataFrame) -> DataFrame:
-    """``word, near``: both orders of every pair of words one insertion, deletion or replacement apart."""
-    places = words.select("word", F.explode(F.sequence(F.lit(0), F.char_length("word"))).alias("i")).select(
-        "word",
-        "i",
-        F.expr("substring(word, 1, i)").alias("prefix"),
-        F.expr("substring(word, i + 1)").alias("suffix"),
-        F.expr("substring(word, i + 2)").alias("rest"),
-        (F.col("i") < F.char_length("word")).alias("has_gap"),
+    """``word, near``: both orders of every pair of words one insertion, deletion or replacement apart.
+
+    ``words`` holds distinct words with a number ``wid``.  Places carry numbers
+    only: per word, the node pairs of its splits and gaps, from one grouping by
+    word.  One grouping by node pair then meets all words sharing a pair; a
+    group holds at most one split (the pair spells that word) and at most 90
+    gaps (words differing in that place only).
+    """
+    places = words.select("wid", "word", F.explode(F.sequence(F.lit(0), F.char_length("word"))).alias("i")).select(
+        "wid", "i", F.expr("substring(word, 1, i)").alias("prefix"), F.expr("substring(word, i + 1)").alias("suffix")
     )
     forward = numbered(places.select(F.col("prefix").alias("s")), "trie-forward")
     backward = numbered(places.select(F.col("suffix").alias("s")), "trie-backward")
-    keyed = parked(
+    nodes = (
         places.join(forward.withColumnRenamed("s", "prefix").withColumnRenamed("node", "p"), "prefix")
         .join(backward.withColumnRenamed("s", "suffix").withColumnRenamed("node", "q"), "suffix")
-        .join(backward.withColumnRenamed("s", "rest").withColumnRenamed("node", "g"), "rest", "left")
-        .select("word", "i", "p", "q", "g", "has_gap"),
-        "trie-pairs",
+        .groupBy("wid")
+        .agg(F.array_sort(F.collect_list(F.struct("i", "p", "q"))).alias("at"))
+    )
+    # splits (p[i], q[i]) for i in 0..L; gaps (p[i], q[i + 1]) for i in 0..L-1
+    pairs = nodes.select(
+        "wid",
+        F.explode(
+            F.concat(
+                F.transform("at", lambda x: F.struct(F.lit(True).alias("split"), x["p"].alias("p"), x["q"].alias("q"))),
+                F.transform(
+                    F.slice("at", 1, F.size("at") - 1),
+                    lambda x, j: F.struct(F.lit(False).alias("split"), x["p"].alias("p"), F.element_at("at", j + 2)["q"].alias("q")),
+                ),
+            )
+        ).alias("k"),
+    ).select("wid", "k.split", "k.p", "k.q")
+    met = parked(
+        pairs.groupBy("p", "q").agg(F.collect_list(F.struct("split", "wid")).alias("m")).where(F.size("m") >= 2).select("m"),
+        "trie-met",
+    )
+    gaps = F.filter("m", lambda x: ~x["split"])
+    split = F.filter("m", lambda x: x["split"])
+    # a gap word against the split word (one code point more), and gap words against each other (one replaced)
+    inserted = met.select(F.explode(gaps).alias("a"), F.try_element_at(split, F.lit(1)).alias("b")).where(F.col("b").isNotNull())
+    replaced = met.select(gaps.alias("g")).select(F.explode("g").alias("a"), "g").select("a", F.explode("g").alias("b")).where(
+        F.col("a.wid") < F.col("b.wid")
+    )
+    one_way = inserted.select(F.col("a.wid").alias("x"), F.col("b.wid").alias("y")).unionByName(
+        replaced.select(F.col("a.wid").alias("x"), F.col("b.wid").alias("y"))
     )
-    splits = keyed.select(F.col("word").alias("other"), "p", "q")
-    gaps = keyed.where("has_gap").select("word", "p", F.col("g").alias("q"))
-    inserted = gaps.join(splits, ["p", "q"]).select("word", F.col("other").alias("near"))
-    replaced = gaps.join(gaps.withColumnRenamed("word", "other"), ["p", "q"]).where(F.col("word") < F.col("other")).select("word", F.col("other").alias("near"))
-    one_way = inserted.unionByName(replaced)
-    return one_way.unionByName(one_way.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct()
+    ids = one_way.unionByName(one_way.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
+    named = words.select("wid", "word")
+    return ids.join(named.withColumnRenamed("wid", "x"), "x").join(
+        named.withColumnRenamed("wid", "y").withColumnRenamed("word", "near"), "y"
+    ).select("word", "near")
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -105,13 +132,13 @@ def roots(forms: DataFrame) -> DataFrame:
 
 def variants(docs: DataFrame) -> DataFrame:
     """``word, form, root, n, n_near, form_n`` for every counted word of the texts."""
-    words = parked(word_counts(docs), "spelling-words")
-    near = neighbours(words.select("word"))
+    words = parked(word_counts(docs).withColumn("wid", F.monotonically_increasing_id()), "spelling-words")
+    near = neighbours(words.select("wid", "word"))
     rated = near.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     best = rated.groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("m"), F.col("near").alias("near"))).alias("best")
     )
-    forms = words.join(best, "word", "left").select(
+    forms = words.drop("wid").join(best, "word", "left").select(
         "word",
         "n",
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
