@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,20 +90,38 @@ def columns_with_gaps(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if gaps[c]]
 
 
-class MedianScaler(Estimator):
+class _ScalerParams(Params):
+    inputCols = Param(Params._dummy(), "inputCols", "columns to impute and scale", TypeConverters.toListString)  # noqa: N815
+    outputCol = Param(Params._dummy(), "outputCol", "vector column written", TypeConverters.toString)  # noqa: N815
+    imputeCols = Param(Params._dummy(), "imputeCols", "columns whose gaps take the median", TypeConverters.toListString)  # noqa: N815
+
+    @property
+    def columns(self) -> list[str]:
+        return self.getOrDefault(self.inputCols)
+
+    @property
+    def output(self) -> str:
+        return self.getOrDefault(self.outputCol)
+
+
+class MedianScaler(Estimator, _ScalerParams, DefaultParamsReadable, DefaultParamsWritable):
     """Imputes with the exact median, standardises, and assembles a vector.
 
     Unlike ``Imputer`` the median interpolates, and unlike ``StandardScaler``
     the spread is the population one.  As a pipeline stage it sees only the
     rows the pipeline is fitted on.  ``impute`` lists the columns that may have
-    gaps; by default all of them may.
+    gaps; by default all of them may.  The stage and its model are saved and
+    loaded like Spark ML's own (``write().save(path)``, ``load(path)``), also
+    inside a saved pipeline.
     """
 
-    def __init__(self, columns: Sequence[str], output: str = "features", impute: Sequence[str] | None = None):
+    def __init__(self, columns: Sequence[str] = (), output: str = "features", impute: Sequence[str] | None = None):
         super().__init__()
-        self.columns = list(columns)
-        self.output = output
-        self.impute = list(columns if impute is None else impute)
+        self._set(inputCols=list(columns), outputCol=output, imputeCols=list(columns if impute is None else impute))
+
+    @property
+    def impute(self) -> list[str]:
+        return self.getOrDefault(self.imputeCols)
 
     def _fit(self, dataset: DataFrame) -> MedianScalerModel:
         def measures(_: str, x: Column) -> list[Column]:
@@ -128,20 +149,34 @@ class MedianScaler(Estimator):
         return MedianScalerModel(self.columns, self.output, medians, stats)
 
 
-class MedianScalerModel(Model):
-    def __init__(self, columns, output, medians, stats):
+class MedianScalerModel(Model, _ScalerParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Medians and (mean, std) per column, kept as JSON parameters so that the model is saved with them."""
+
+    mediansJson = Param(Params._dummy(), "mediansJson", "median per imputed column", TypeConverters.toString)  # noqa: N815
+    statsJson = Param(Params._dummy(), "statsJson", "mean and std per column", TypeConverters.toString)  # noqa: N815
+
+    def __init__(self, columns=(), output="features", medians=None, stats=None):
         super().__init__()
-        self.columns = columns
-        self.output = output
-        self.medians = medians
-        self.stats = stats
+        self._set(
+            inputCols=list(columns), outputCol=output, mediansJson=json.dumps(medians or {}), statsJson=json.dumps({k: list(v) for k, v in (stats or {}).items()})
+        )
+
+    @property
+    def medians(self) -> dict[str, float]:
+        return json.loads(self.getOrDefault(self.mediansJson))
+
+    @property
+    def stats(self) -> dict[str, tuple[float, float]]:
+        return {k: tuple(v) for k, v in json.loads(self.getOrDefault(self.statsJson)).items()}
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        medians, stats = self.medians, self.stats
+
         def scaled(c: str) -> Column:
-            mean, std = self.stats[c]
+            mean, std = stats[c]
             value = not_nan(F.col(c))
-            if c in self.medians:
-                value = F.coalesce(value, F.lit(self.medians[c]))
+            if c in medians:
+                value = F.coalesce(value, F.lit(medians[c]))
             return (value - F.lit(mean)) / F.lit(std)
 
         return dataset.withColumn(self.output, array_to_vector(F.array(*map(scaled, self.columns))))

@@ -45,6 +45,25 @@ def test_median_scaler_equals_numpy(rows, frame):
     assert found == pytest.approx(scaled(frame).to_numpy())
 
 
+def test_scaler_and_pipeline_are_saved_and_loaded(rows, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.regression import LinearRegression
+
+    scaler = feat.MedianScaler(COLUMNS, impute=["b"])
+    scaler.write().save(str(tmp_path / "stage"))
+    again = feat.MedianScaler.load(str(tmp_path / "stage"))
+    assert (again.columns, again.output, again.impute) == (COLUMNS, "features", ["b"])
+    model = scaler.fit(rows)
+    model.write().save(str(tmp_path / "model"))
+    loaded = feat.MedianScalerModel.load(str(tmp_path / "model"))
+    assert loaded.medians == model.medians and loaded.stats == model.stats
+    assert matrix(loaded.transform(rows), "features") == pytest.approx(matrix(model.transform(rows), "features"))
+    fitted = Pipeline(stages=[feat.MedianScaler(COLUMNS), LinearRegression(labelCol="y")]).fit(rows)
+    fitted.write().save(str(tmp_path / "pipeline"))
+    scored = PipelineModel.load(str(tmp_path / "pipeline")).transform(rows).orderBy("key")
+    assert [r["prediction"] for r in scored.collect()] == pytest.approx([r["prediction"] for r in fitted.transform(rows).orderBy("key").collect()])
+
+
 def test_median_scaler_edges(spark):
     data = spark.createDataFrame([(1, 5.0, None), (2, 5.0, None)], "key int, flat double, none double")
     found = matrix(feat.MedianScaler(["flat", "none"]).fit(data).transform(data), "features")
