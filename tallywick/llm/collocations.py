@@ -1,10 +1,10 @@
 """Phrase collocations mined by SETM: relational joins of occurrence lists, level by level.
 
 Texts are lower-cased (A-Z only), cut at ``[.,;:!?\\n\\v\\f\\r]`` into pieces and
-the pieces into words (runs of anything but space and tab).  The occurrence
-relation ``(lang, row, piece, at, word)`` is written once.  Words seen at least
-``SUPPORT`` times in their language get a number, and the relation is kept only
-at their places (a semi-join).  Then, for lengths 2, 3 and 4, SETM's step:
+the pieces into words (runs of anything but space and tab).  Words seen at
+least ``SUPPORT`` times in their language get a number, and the occurrence
+relation ``(row, piece, at, word number)`` of those words only (a semi-join) is
+written once.  Then, for lengths 2, 3 and 4, SETM's step:
 
 * join the occurrences of frequent phrases of length k with the frequent-word
   occurrences on ``(row, piece, end + 1)`` (a merge join of two sorted lists),
@@ -45,46 +45,51 @@ RANK_GROUPS = 64
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``lang, row, piece, at, word`` of every word occurrence, written once (row numbers then stay fixed)."""
+    """``lang, row, piece, at, word`` of every word occurrence (not written: it is as large as the text)."""
     shipped(docs.sparkSession)
     rows = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER).alias("text"),
     ).withColumn("row", F.monotonically_increasing_id())
     pieces = rows.select("lang", "row", F.posexplode(F.split("text", BREAKS, -1)).alias("piece", "body"))
-    words = pieces.select("lang", "row", "piece", F.posexplode(F.regexp_extract_all("body", F.lit(WORD), 0)).alias("at", "word"))
-    return parked(words, "setm-words")
+    return pieces.select("lang", "row", "piece", F.posexplode(F.regexp_extract_all("body", F.lit(WORD), 0)).alias("at", "word"))
 
 
 def counted(level: DataFrame) -> DataFrame:
-    """``lang, ids, f`` of phrases seen at least SUPPORT times."""
-    return level.groupBy("lang", "ids").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= SUPPORT)
+    """``ids, f`` of phrases seen at least SUPPORT times (a word number implies its language)."""
+    return level.groupBy("ids").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= SUPPORT)
 
 
 def mined(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Frequent phrases ``lang, ids, k, f`` of 1 to LONGEST words, the word numbers ``lang, wid, word`` and ``lang, n``."""
-    words = occurrences(docs)
-    totals = words.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    frequent = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= SUPPORT)
-    numbers = parked(frequent.withColumn("wid", F.monotonically_increasing_id()), "setm-numbers")
+    """Frequent phrases ``lang, ids, k, f`` of 1 to LONGEST words, the word numbers ``lang, wid, word`` and ``lang, n``.
+
+    Counting reads the texts once; the occurrence relation of frequent words,
+    four numbers a row, is the first one written.  Every number of a word
+    belongs to one language, so later relations carry no language.
+    """
+    counts = parked(occurrences(docs).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f")), "setm-words")
+    totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
+    numbers = parked(counts.where(F.col("f") >= SUPPORT).withColumn("wid", F.monotonically_increasing_id()), "setm-numbers")
     # the semi-join with frequent words: only their places can start or extend a frequent phrase
-    base = parked(words.join(numbers.select("lang", "word", "wid"), ["lang", "word"]).select("lang", "row", "piece", "at", "wid"), "setm-1")
-    found = [numbers.select("lang", F.array("wid").alias("ids"), F.lit(1).alias("k"), "f")]
-    level = base.select("lang", "row", "piece", F.col("at").alias("end"), F.array("wid").alias("ids"))
+    base = parked(occurrences(docs).join(numbers.select("lang", "word", "wid"), ["lang", "word"]).select("row", "piece", "at", "wid"), "setm-1")
+    found = [numbers.select(F.array("wid").alias("ids"), F.lit(1).alias("k"), "f")]
+    level = base.select("row", "piece", F.col("at").alias("end"), F.array("wid").alias("ids"))
     step = base.select("row", "piece", F.col("at").alias("next"), "wid")
     for k in range(2, LONGEST + 1):
         longer = level.join(step, (level.row == step.row) & (level.piece == step.piece) & (step.next == level.end + 1)).select(
-            "lang", level.row, level.piece, F.col("next").alias("end"), F.concat("ids", F.array("wid")).alias("ids")
+            level.row, level.piece, F.col("next").alias("end"), F.concat("ids", F.array("wid")).alias("ids")
         )
         if k < LONGEST:
             longer = parked(longer, f"setm-{k}-all")
-        counts = parked(counted(longer), f"setm-{k}-counts")
-        found.append(counts.select("lang", "ids", F.lit(k).alias("k"), "f"))
+        counts_k = parked(counted(longer), f"setm-{k}-counts")
+        found.append(counts_k.select("ids", F.lit(k).alias("k"), "f"))
         if k < LONGEST:
-            level = parked(longer.join(counts.select("lang", "ids"), ["lang", "ids"], "left_semi"), f"setm-{k}")
+            level = parked(longer.join(counts_k.select("ids"), "ids", "left_semi"), f"setm-{k}")
     phrases = found[0]
     for more in found[1:]:
         phrases = phrases.unionByName(more)
+    languages = numbers.select(F.col("wid").alias("first"), "lang")
+    phrases = phrases.withColumn("first", F.element_at("ids", 1)).join(languages, "first").drop("first")
     return parked(phrases, "setm-phrases"), numbers.select("lang", "wid", "word"), totals
 
 
