@@ -10,18 +10,39 @@ from pyspark.sql import functions as F
 from tallywick.functions.values import row_mean
 
 
+def in_year(df: DataFrame, column: str, year: int) -> Column:
+    """``year(column) = year`` written as a half-open range of the column itself.
+
+    A function of a column hides it from the scan; the range is two plain
+    comparisons, which Parquet's statistics and row-group filters use.  Dates
+    compare with dates, timestamps with the first instant of the year in the
+    session's time zone.
+    """
+    kind = df.schema[column].dataType.typeName()
+    if kind == "date":
+        low, high = F.make_date(F.lit(year), F.lit(1), F.lit(1)), F.make_date(F.lit(year + 1), F.lit(1), F.lit(1))
+    else:
+        parse = F.to_timestamp_ntz if kind == "timestamp_ntz" else F.to_timestamp
+        low, high = (parse(F.lit(f"{y:04d}-01-01 00:00:00")) for y in (year, year + 1))
+    return (F.col(column) >= low) & (F.col(column) < high)
+
+
 def standardised(
     df: DataFrame,
     columns: Mapping[str, str],
     where: Mapping[str, object] | None = None,
     required: Sequence[str] = (),
+    years: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """One source brought to a common form.
 
     ``columns`` maps old names to new ones and is also the selection, ``where``
-    holds equality filters on the old names, ``required`` the new names that
-    must be present.  Filters and selection reach the file scan.
+    holds equality filters on the old names, ``years`` the year wanted of date
+    or timestamp columns, ``required`` the new names that must be present.
+    Filters (years as ranges) and selection reach the file scan.
     """
+    for name, year in (years or {}).items():
+        df = df.where(in_year(df, name, year))
     for name, wanted in (where or {}).items():
         df = df.where(F.col(name) == F.lit(wanted))
     df = df.select(*columns).withColumnsRenamed(dict(columns))

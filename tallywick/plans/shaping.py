@@ -29,10 +29,10 @@ def standardised_source(spark, folder):
         "o_orderkey",
         F.when(F.col("o_custkey") % 19 != 0, F.col("o_custkey")).alias("o_custkey"),
         "o_totalprice",
-        F.year("o_orderdate").alias("year"),
+        "o_orderdate",
     )
     names = {"o_orderkey": "id", "o_custkey": "customer", "o_totalprice": "amount"}
-    return ops.standardised(orders, names, {"year": 1997}, ["customer"])
+    return ops.standardised(orders, names, required=["customer"], years={"o_orderdate": 1997})
 
 
 @query("copied_column", "SELECT p_partkey, p_size, p_size AS size FROM part")

@@ -82,6 +82,24 @@ def test_standardised_reaches_the_scan(spark, folder):
     assert found.columns == ["id"]
 
 
+def test_year_filter_reaches_the_scan_as_a_range(spark, folder):
+    from tallywick.plans import QUERIES
+
+    found = QUERIES["standardised_source"](spark, folder)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(o_orderdate,1997-01-01" in pushed and "LessThan(o_orderdate,1998-01-01" in pushed
+    orders = files.table(spark, folder, "orders")
+    expected = orders.where(F.year("o_orderdate") == 1997).count()
+    assert shaping.standardised(orders, {"o_orderkey": "id"}, years={"o_orderdate": 1997}).count() == expected > 0
+    stamps = orders.select(F.col("o_orderdate").cast("timestamp").alias("t"))
+    assert stamps.where(shaping.in_year(stamps, "t", 1997)).count() == expected
+
+
 def test_codes_from_list_and_table(spark):
     data = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
     codes = spark.createDataFrame([("a",), ("a",), ("z",)], "code string")
