@@ -13,7 +13,7 @@ from tallywick.operators.association import correlation_matrix, lower_triangle
 
 from tallywick.operators.grouping import crosstab, row_percent
 from tallywick.operators.profiling import FENCE, QUARTILES, frequencies, per_column, with_fences
-from tallywick.operators.ranking import quantiles, stacked
+from tallywick.operators.ranking import quantiles, stacked, sums_before
 from tallywick.operators.shaping import complete_pairs
 
 # a Gaussian kernel is below 1e-17 of its peak beyond nine bandwidths
@@ -161,13 +161,14 @@ def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
 
 
 def stacked_bars(df: DataFrame, x: str, y: str, percent: bool = True) -> DataFrame:
-    """Height and base of every segment of a stacked bar chart, stacked in y order."""
+    """Height and base of every segment of a stacked bar chart, stacked in y order.
+
+    Bases are running totals over range partitions (:func:`sums_before`), so a
+    bar of millions of segments is spread over tasks, not one window.
+    """
     cells = row_percent(crosstab(df, x, y, missing=False), x)
     height = F.col("percent") if percent else F.col("n").cast("double")
-    below = Window.partitionBy(x).orderBy(y).rowsBetween(Window.unboundedPreceding, -1)
-    return cells.select(x, y, height.alias("height")).withColumn(
-        "base", F.coalesce(F.sum("height").over(below), F.lit(0.0))
-    )
+    return sums_before(cells.select(x, y, height.alias("height")), [x], [y], "height").withColumnRenamed("before", "base")
 
 
 def heat_map(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -225,3 +225,28 @@ def range_ranks(counts: DataFrame, groups: Sequence[str], values: Sequence[str],
     return local.join(offsets, ["range", *groups]).select(
         *groups, *values, "n", (2 * (F.col("offset") + F.col("inside")) + F.col("n") + 1).alias("twice_rank"), "total"
     )
+
+
+def sums_before(df: DataFrame, groups: Sequence[str], order: Sequence[str], value: str, parts: int | None = None) -> DataFrame:
+    """Adds ``before``: the sum of ``value`` over the earlier rows of the row's group, in ``order``.
+
+    A running total over range partitions: rows are range-partitioned on
+    ``(groups, order)``, summed inside each range, and each range adds the
+    totals of the earlier ranges of the group (at most ``parts`` rows a group).
+    One group may hold any number of rows: no window holds more than a range.
+    Rows with equal ``order`` within a group are taken in an undefined order.
+    """
+    groups, order = list(groups), list(order)
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c).asc_nulls_first() for c in [*groups, *order]]
+    ranged = df.repartitionByRange(parts, *keys).withColumn("_range", F.spark_partition_id())
+    within = Window.partitionBy("_range", *groups)
+    running = within.orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumns(
+        {"_inside": F.coalesce(F.sum(value).over(running), F.lit(0).cast(df.schema[value].dataType)), "_range_total": F.sum(value).over(within)}
+    )
+    ranges = local.groupBy("_range", *groups).agg(F.max("_range_total").alias("_range_total"))
+    earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select("_range", *groups, F.coalesce(F.sum("_range_total").over(earlier), F.lit(0)).alias("_offset"))
+    joined = local.join(offsets, ["_range", *groups])
+    return joined.select(*df.columns, (F.col("_offset") + F.col("_inside")).alias("before"))

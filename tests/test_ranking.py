@@ -142,3 +142,14 @@ def test_spearman_plan_shuffles_at_most_ten_times(spark):
     final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     shuffles = [line for line in final.split("\n") if "Exchange " in line and "Broadcast" not in line and "Reused" not in line]
     assert 0 < len(shuffles) <= 10
+
+
+def test_sums_before_equal_a_running_total_across_ranges(spark):
+    rng = random.Random(4)
+    data = [(rng.choice(["a", "b"]), i, float(rng.randint(0, 9))) for i in range(2000)] + [("c", 1, 2.5)]
+    rows = spark.createDataFrame(data, "g string, o int, v double")
+    got = {(r["g"], r["o"]): r["before"] for r in ranking.sums_before(rows, ["g"], ["o"], "v", parts=9).collect()}
+    running = {}
+    for g, o, v in sorted(data):
+        assert got[(g, o)] == pytest.approx(running.get(g, 0.0))
+        running[g] = running.get(g, 0.0) + v
