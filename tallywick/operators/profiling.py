@@ -81,6 +81,9 @@ def outlier_counts(counts: DataFrame, fences: DataFrame) -> DataFrame:
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Full numeric profile, one row per column.
 
+    ``n`` counts all rows, ``missing`` those without a value; with one value the
+    variance and std are 0, with none they are NULL.
+
     Two scans, both lazy: the moments in one aggregation, and one shuffle of
     (variable, value) counts that mode, quartiles and outlier counts share.
     """
@@ -91,6 +94,15 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     summary = moments(df, columns)
     for part in parts:  # one row per listed variable on each side
         summary = summary.join(F.broadcast(part), "variable", "left")
+    # n counts every row, missing ones too; one value has no spread (0), none has none (NULL)
+    single = F.col("n") == 1
+    summary = summary.withColumns(
+        {
+            "n": F.col("n") + F.col("missing"),
+            "variance": F.when(single, F.lit(0.0)).otherwise(F.col("variance")),
+            "std": F.when(single, F.lit(0.0)).otherwise(F.col("std")),
+        }
+    )
     return summary.select(
         "variable", "n", "missing", "mean", "median", "mode", "variance", "std", "iqr", "q1", "q3",
         "min", "max", "skewness", F.coalesce("outliers", F.lit(0)).alias("outliers"),

@@ -43,8 +43,9 @@ OUTLIERS_SQL = f"""
     steady_query(
         f"""{LONG}
         SELECT s.*, m.mode, q.q3 - q.q1 AS iqr, q.q1, q.median, q.q3, k.skewness, o.outliers
-        FROM (SELECT variable, count(value) AS n, count(*) - count(value) AS missing, avg(value) AS mean,
-                     var_samp(value) AS variance, stddev_samp(value) AS std, min(value) AS min, max(value) AS max
+        FROM (SELECT variable, count(*) AS n, count(*) - count(value) AS missing, avg(value) AS mean,
+                     CASE WHEN count(value) = 1 THEN 0.0 ELSE var_samp(value) END AS variance,
+                     CASE WHEN count(value) = 1 THEN 0.0 ELSE stddev_samp(value) END AS std, min(value) AS min, max(value) AS max
               FROM long GROUP BY variable) s
         JOIN ({QUARTILES_SQL}) q ON s.variable = q.variable
         JOIN ({MODES_SQL}) m ON s.variable = m.variable

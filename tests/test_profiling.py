@@ -35,15 +35,15 @@ def test_summary_of_edge_columns(edges):
     assert (varied["mode"], varied["median"], varied["outliers"], varied["missing"]) == (2.0, 2.0, 1, 0)
     assert varied["variance"] == pytest.approx(reference.var())
     assert (same["iqr"], same["outliers"], same["skewness"], same["std"]) == (0.0, 0, 0.0, 0.0)
-    assert (none["n"], none["missing"], none["mean"], none["median"], none["mode"], none["outliers"]) == (0, 4, None, None, None, 0)
-    assert (odd["n"], odd["missing"], odd["max"]) == (2, 2, math.inf)
+    assert (none["n"], none["missing"], none["mean"], none["median"], none["mode"], none["outliers"]) == (4, 4, None, None, None, 0)
+    assert (odd["n"], odd["missing"], odd["max"]) == (4, 2, math.inf)
 
 
 def test_summary_of_empty_and_single_rows(edges):
     empty = by(profiling.numeric_summary(edges.where("false"), ["varied"]), "variable")["varied"]
     assert (empty["n"], empty["missing"], empty["mean"], empty["outliers"]) == (0, 0, None, 0)
     single = by(profiling.numeric_summary(edges.limit(1), ["varied"]), "variable")["varied"]
-    assert (single["n"], single["variance"], single["skewness"], single["q1"]) == (1, None, None, 1.0)
+    assert (single["n"], single["variance"], single["std"], single["skewness"], single["q1"]) == (1, 0.0, 0.0, None, 1.0)
 
 
 def test_summary_does_not_depend_on_partitioning(spark, folder):
