@@ -214,11 +214,16 @@ def test_report(
     alpha: float = 0.05,
     texts: tuple[str, str, str] = ("rejected", "not rejected", "not applicable"),
 ) -> DataFrame:
-    """All tests as one table with a fixed schema, with the decision at ``alpha``."""
+    """All tests as one table with a fixed schema, with the decision at ``alpha``.
+
+    ``notes`` warns of expected counts below 5 (with the smallest one, two
+    decimals) and of mean tests with fewer than two groups with data.
+    """
     parts = []
     if pairs:
         table = chi_square(df, pairs, correction)
-        notes = F.when(F.col("low_expected"), F.array(F.lit("low expected counts"))).otherwise(
+        smallest = F.when(F.col("min_expected").isNotNull(), F.format_string("smallest expected count: %.2f", F.col("min_expected")))
+        notes = F.when(F.col("low_expected"), F.array_compact(F.array(F.lit("low expected counts"), smallest))).otherwise(
             F.array().cast("array<string>")
         )
         parts.append(
@@ -236,7 +241,8 @@ def test_report(
             )
         )
     if means:
-        table = mean_tests(df, means).withColumn("notes", F.array().cast("array<string>"))
+        few = F.when(F.col("groups") < 2, F.array(F.lit("fewer than two groups with data")))
+        table = mean_tests(df, means).withColumn("notes", F.coalesce(few, F.array().cast("array<string>")))
         parts.append(table.select(*RESULT_COLUMNS))
     if not parts:
         raise ValueError("no test was asked for")

@@ -183,17 +183,21 @@ def decisions(spark, folder):
         f"""WITH c AS ({_chi_square_sql(_grid_sql("o_orderstatus", "o_orderpriority", "orders"), yates=True)}),
             m AS ({MEANS_SQL}),
             r AS (SELECT x || ' x ' || y AS test, 'chi_square' AS kind, n, statistic, dof::DOUBLE AS dof, NULL::DOUBLE AS dof2,
-                         p, cramers_v AS effect, 'cramers_v' AS effect_name FROM c
-                  UNION ALL SELECT test, kind, n, statistic, dof, dof2, p, effect, effect_name FROM m)
+                         p, cramers_v AS effect, 'cramers_v' AS effect_name,
+                         CASE WHEN coalesce(low_expected, true) THEN 'low expected counts'
+                              || coalesce('; smallest expected count: ' || printf('%.2f', min_expected), '') ELSE '' END AS notes
+                  FROM c
+                  UNION ALL SELECT test, kind, n, statistic, dof, dof2, p, effect, effect_name,
+                         CASE WHEN groups < 2 THEN 'fewer than two groups with data' ELSE '' END FROM m)
             SELECT *, CASE WHEN p IS NULL THEN 'not applicable' WHEN p < 0.05 THEN 'rejected' ELSE 'not rejected' END
                 AS decision FROM r""",
-        ["test", "kind", "n", "effect_name", "decision"],
+        ["test", "kind", "n", "effect_name", "notes", "decision"],
         ["statistic", "dof", "dof2", "p", "effect"],
     ),
 )
 def test_report(spark, folder):
     report = ops.test_report(_orders(spark, folder), [("o_orderstatus", "o_orderpriority")], TESTS)
-    return steady(report.drop("notes"))
+    return steady(report.withColumn("notes", F.array_join("notes", "; ")))
 
 
 @query(

@@ -118,7 +118,10 @@ def test_decisions_and_report(spark):
     data = counted(spark, {("x", "u"): 3, ("y", "v"): 4}).withColumn("v", F.rand(1))
     report = testing.test_report(data, [("a", "b")], [("v by a", "v", "a")])
     assert report.columns == [*testing.RESULT_COLUMNS, "decision"]
-    assert {r["kind"]: r["notes"] for r in report.collect()} == {"chi_square": ["low expected counts"], "welch": []}
+    # smallest expected count: 3 * 3 / 7
+    assert {r["kind"]: r["notes"] for r in report.collect()} == {"chi_square": ["low expected counts", "smallest expected count: 1.29"], "welch": []}
+    alone = testing.test_report(data.where("a = 'x'"), means=[("v by a", "v", "a")]).first()
+    assert alone["notes"] == ["fewer than two groups with data"]
     with pytest.raises(ValueError):
         testing.test_report(data)
 
