@@ -6,6 +6,9 @@ them.  Published methods: Lanczos' approximation of log-gamma, the power series
 and continued fractions (evaluated by Lentz's method) of the incomplete gamma
 and beta functions, and, for a large first beta argument, the gamma limit with
 the shifted argument ``a + (b - 1) / 2`` (relative error of order 1 / a**2).
+Where both beta arguments are large the factor in front of the fraction is
+taken from Stirling's series and a cancellation-free log term, since a
+difference of log-gammas of size 1e12 keeps only four digits.
 """
 
 from __future__ import annotations
@@ -121,14 +124,42 @@ def _beta_fraction(a: str, b: str, x: str) -> str:
     )
 
 
+#: from this smaller beta argument on, the front factor is taken in the form without cancellation
+_STIRLING_FROM = "50D"
+
+
+def _stirling_rest(z: str) -> str:
+    """log Gamma(z) minus Stirling's leading terms, by its series (below 1e-15 from z = 50 on)."""
+    return f"(1D / (12D * {z}) - 1D / (360D * power({z}, 3)) + 1D / (1260D * power({z}, 5)))"
+
+
+def _stable_front() -> str:
+    """x^a y^b / B(a, b) for large a and b, without the cancellation of log-gammas near 1e12.
+
+    With s = a + b, p = a / s, q = b / s and e = x - p (taken as (x b - y a) / s),
+    log front = log(ab / (2 pi s)) / 2 - r(a) - r(b) + r(s) - a phi(e / p) - b phi(-e / q),
+    phi(t) = t - log(1 + t) by its series near 0; the first-order terms cancel exactly.
+    """
+
+    def phi(t: str, name: str) -> str:
+        return _let(name, {"t": t}, f"if(abs({name}.t) < 1E-4D, {name}.t * {name}.t * (0.5D - {name}.t * (1D / 3D - {name}.t * (0.25D - {name}.t * 0.2D))), {name}.t - log1p({name}.t))")
+
+    body = (
+        f"exp(0.5D * ln(v.a * v.b / (2D * pi() * u.s)) - {_stirling_rest('v.a')} - {_stirling_rest('v.b')} + {_stirling_rest('u.s')} "
+        f"- v.a * {phi('u.e * u.s / v.a', 'ta')} - v.b * {phi('-u.e * u.s / v.b', 'tb')})"
+    )
+    return _let("u", {"s": "v.a + v.b", "e": "(v.x * v.b - v.y * v.a) / (v.a + v.b)"}, body)
+
+
 def _lower_beta(a: str, b: str, x: str, complement: str) -> str:
     """Regularised incomplete beta function I_x(a, b); ``complement`` is 1 - x.
 
     The complement is an argument because callers know it without cancellation.
     """
-    front = (
+    plain = (
         f"exp({_log_gamma('(v.a + v.b)')} - {_log_gamma('v.a')} - {_log_gamma('v.b')} + v.a * ln(v.x) + v.b * ln(v.y))"
     )
+    front = f"if(least(v.a, v.b) >= {_STIRLING_FROM}, {_stable_front()}, {plain})"
     # the fraction converges fast below the mean of the law; above it the
     # arguments are mirrored
     mirrored = "v.x >= (v.a + 1D) / (v.a + v.b + 2D)"

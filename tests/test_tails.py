@@ -76,3 +76,28 @@ def test_chi_square_at_large_dof(spark, dof):
 def test_chi_square_on_both_sides_of_the_expansion(spark, z):
     below, above = (one(spark, chi2_upper(f"{d + z * math.sqrt(2 * d)!r}D", f"{d!r}D")) for d in (199_998.0, 200_002.0))
     assert below == pytest.approx(above, abs=2e-8)
+
+
+@pytest.mark.parametrize("d1, d2", [(1e7, 1e11), (1e6, 1e12), (1e9, 1e9)])
+def test_f_one_deviation_above_the_mean_at_huge_dof(spark, d1, d2):
+    """F nears the normal law; at one deviation its first correction (skewness) vanishes."""
+    import math
+
+    mean = d2 / (d2 - 2)
+    sd = math.sqrt(2 * d2 * d2 * (d1 + d2 - 2) / (d1 * (d2 - 2) ** 2 * (d2 - 4)))
+    row = spark.range(1).select(f_upper(f"{mean + sd!r}D", f"{d1!r}D", f"{d2!r}D").alias("p")).first()
+    assert row["p"] == pytest.approx(0.5 * math.erfc(1 / math.sqrt(2)), abs=2e-6)
+
+
+
+@pytest.mark.parametrize("d1, d2, f", [(2e5, 3e5, 1.003), (120.0, 130.0, 1.1), (100.0, 4000.0, 0.8), (3000.0, 200.0, 1.3)])
+def test_both_front_factors_agree_where_both_hold(spark, monkeypatch, d1, d2, f):
+    """Up to a few 1e5 degrees of freedom the log-gamma form is accurate too; both must agree."""
+    from tallywick.functions import tails
+
+    def p():
+        return spark.range(1).select(tails.f_upper(f"{f!r}D", f"{d1!r}D", f"{d2!r}D").alias("p")).first()["p"]
+
+    stable = p()
+    monkeypatch.setattr(tails, "_STIRLING_FROM", "1E300D")
+    assert stable == pytest.approx(p(), rel=1e-9, abs=1e-15)
