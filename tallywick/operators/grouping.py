@@ -22,13 +22,24 @@ def crosstab(df: DataFrame, x: str, y: str, missing: bool = True) -> DataFrame:
     return pairs.groupBy(x, y).agg(F.count(F.lit(1)).alias("n"))
 
 
+def listed_only(column: Column, names: Sequence[str], what: str) -> Column:
+    """The column's text, or a run-time error for a value outside ``names`` (NULL passes).
+
+    Refusing is lazy: the check is part of the plan and costs no extra job.
+    """
+    text = column.cast("string")
+    message = F.concat(F.lit(f"{what} is not listed: "), text)
+    return F.when(text.isNull() | text.isin(list(names)), text).otherwise(F.raise_error(message).cast("string"))
+
+
 def full_crosstab(df: DataFrame, x: str, y: str, y_values: Sequence) -> DataFrame:
     """Crosstab without NULLs in which empty cells are zeros, in long form.
 
     The pivot creates the empty cells; ``y_values`` lists the categories of y.
+    A y value outside the list stops the job with an error rather than vanish.
     """
     names = [str(v) for v in y_values]
-    wide = df.select(x, F.col(y).cast("string").alias(y)).na.drop().groupBy(x).pivot(y, names).count()
+    wide = df.select(x, listed_only(F.col(y), names, y).alias(y)).na.drop().groupBy(x).pivot(y, names).count()
     return wide.na.fill(0, subset=names).unpivot([x], names, y, "n")
 
 

@@ -78,8 +78,15 @@ def complete_pairs(df: DataFrame, x: str, y: str, keep: Sequence[str] = ()) -> D
 
 
 def wide_means(df: DataFrame, key: str, name: str, value: str, names: Sequence) -> DataFrame:
-    """Long to wide with the mean of every cell; keys without any value are left out."""
-    wide = df.groupBy(key).pivot(name, list(names)).agg(F.avg(value))
+    """Long to wide with the mean of every cell; keys without any value are left out.
+
+    A name outside ``names`` stops the job with an error rather than vanish.
+    """
+    from tallywick.operators.grouping import listed_only
+
+    texts = [str(n) for n in names]
+    checked = df.withColumn(name, listed_only(F.col(name), texts, name))
+    wide = checked.groupBy(key).pivot(name, texts).agg(F.avg(value))
     return wide.na.drop("all", subset=[str(n) for n in names])
 
 

@@ -191,3 +191,17 @@ def test_full_chain_equals_outer_joins_and_splits_a_hot_key(spark):
     salted, _ = joining.salted_parts({n: p.na.drop(subset=["k"]) for n, p in named.items()}, "k", rows_per_task=700)
     per_salt = Counter((r["k"], r["salt"]) for r in salted["a"].collect())
     assert max(per_salt.values()) <= 900 and len([s for k, s in per_salt if k == 0]) == 8
+
+
+def test_unlisted_categories_are_refused_not_dropped(spark):
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+
+    from tallywick.operators import grouping
+
+    long = spark.createDataFrame([(1, "a", 1.0), (1, "z", 5.0), (2, None, 3.0)], "k int, c string, v double")
+    for built in (shaping.wide_means(long, "k", "c", "v", ["a", "b"]), grouping.full_crosstab(long, "k", "c", ["a", "b"])):
+        with pytest.raises((PySparkException, Py4JJavaError), match="not listed: z"):
+            built.collect()
+    listed = long.where("c is null or c <> 'z'")
+    assert sorted(tuple(r) for r in grouping.full_crosstab(listed, "k", "c", ["a", "b"]).collect()) == [(1, "a", 1), (1, "b", 0)]
