@@ -312,18 +312,23 @@ def silhouette_of_labels(spark, folder):
     return spark.createDataFrame([(round(value, 6),)], "silhouette double")
 
 
+WIDTH = 64
+
+
 @query(
     "cluster_profiles",
     steady_query(
-        "SELECT label, count(*) AS n, avg(embedding[1]) AS x0, avg(embedding[2]) AS x1, avg(embedding[64]) AS x63 "
-        "FROM embeddings GROUP BY label",
+        "SELECT label, count(*) AS n, "
+        + ", ".join(f"avg(embedding[{i + 1}]) AS x{i}" for i in range(WIDTH))
+        + " FROM embeddings GROUP BY label",
         ["label", "n"],
-        ["x0", "x1", "x63"],
+        [f"x{i}" for i in range(WIDTH)],
     ),
 )
 def cluster_profiles(spark, folder):
+    """Mean of every one of the 64 coordinates per label, with the label's size."""
     rows = table(spark, folder, "embeddings")
-    chosen = {f"x{i}": F.get("embedding", F.lit(i)).cast("double") for i in (0, 1, 63)}
+    chosen = {f"x{i}": F.get("embedding", F.lit(i)).cast("double") for i in range(WIDTH)}
     return steady(group_means(rows.withColumns(chosen), "label", list(chosen)))
 
 
