@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,43 +120,46 @@ def grid_search(
     estimator: Estimator,
     grid: Mapping[str, Sequence],
     folds: int = 5,
-    parallelism: int = 4,
 ) -> tuple[PipelineModel, DataFrame]:
     """Every setting of a parameter grid scored by cross-validation.
 
-    Returns the pipeline refitted with the best setting on all rows, and one row
-    per setting with its mean and standard deviation of R2 over the folds.
+    Returns the pipeline refitted with the best setting on all rows, and one
+    row per setting with its mean and population standard deviation of R2 over
+    the folds.  Each fold's imputation and scaling is fitted once, on that
+    fold's training rows, and shared by all settings: the prepared rows are
+    cached and every setting's model is fitted on them (``fitMultiple``).
     """
+    import numpy as np
+
     rows = with_fold(df.select(key, target, *features).na.drop(subset=[target]), key, folds)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), list(values))
     settings = builder.build()
-    search = CrossValidator(
-        estimator=pipeline(features, estimator, columns_with_gaps(rows, features)),
-        estimatorParamMaps=settings,
-        evaluator=RegressionEvaluator(labelCol=target, metricName="r2"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    found = search.fit(rows)
-    best = max(found.avgMetrics)
+    gaps = columns_with_gaps(rows, features)
+    evaluator = RegressionEvaluator(labelCol=target, metricName="r2")
+    metrics = np.zeros((len(settings), folds))
+    for fold in range(folds):
+        training = rows.where(F.col("fold") != fold)
+        scaler = MedianScaler(features, impute=gaps).fit(training)
+        prepared = scaler.transform(training).persist(StorageLevel.MEMORY_AND_DISK)
+        checked = scaler.transform(rows.where(F.col("fold") == fold))
+        for index, fitted in estimator.fitMultiple(prepared, settings):
+            metrics[index, fold] = evaluator.evaluate(fitted.transform(checked))
+        prepared.unpersist()
+    means, spreads = metrics.mean(axis=1), metrics.std(axis=1)
+    best = int(np.argmax(means))
     table = [
-        (
-            *[str(setting[estimator.getParam(name)]) for name in grid],
-            float(mean),
-            float(std),
-            bool(mean == best),
-        )
-        for setting, mean, std in zip(settings, found.avgMetrics, found.stdMetrics)
+        (*[str(setting[estimator.getParam(name)]) for name in grid], float(mean), float(std), bool(i == best))
+        for i, (setting, mean, std) in enumerate(zip(settings, means, spreads))
     ]
     names = [*grid, "mean_r2", "std_r2", "best"]
     types = ["string"] * len(grid) + ["double", "double", "boolean"]
     schema = ", ".join(f"`{n}` {t}" for n, t in zip(names, types))
-    # same scaling, but with a fill value for every column of tables to come
-    model = PipelineModel(stages=[MedianScaler(features).fit(rows), found.bestModel.stages[-1]])
+    # refitted on all rows, with a fill value for every column of tables to come
+    scaler = MedianScaler(features).fit(rows)
+    model = PipelineModel(stages=[scaler, estimator.fit(scaler.transform(rows), settings[best])])
     rows.unpersist()
     return model, df.sparkSession.createDataFrame(table, schema)
 

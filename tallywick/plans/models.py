@@ -170,7 +170,7 @@ def fold_scores_forest(spark, folder):
 def grid_search(spark, folder):
     grid = {"maxDepth": [3, 6], "minInstancesPerNode": [1, 5]}
     return reg.grid_search(
-        _customers(spark, folder), "c_custkey", TWO, TWO_TARGET, reg.forest_model(TWO_TARGET, trees=10, depth=6), grid, folds=3
+        _customers(spark, folder), "c_custkey", TWO, TWO_TARGET, reg.forest_model(TWO_TARGET, trees=10, depth=6), grid
     )[1]
 
 

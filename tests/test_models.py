@@ -221,3 +221,22 @@ def test_batched_fits_equal_spark_ml(blobs):
         theirs = min(KMeans(k=k, seed=s, tol=1e-6).fit(vectors).summary.trainingCost for s in range(4))
         ours = min(f.cost for f in fits if f.k == k)
         assert ours == pytest.approx(theirs, rel=1e-9)
+
+
+def test_grid_search_equals_cross_validation(rows):
+    """Sharing each fold's scaler among settings gives Spark's CrossValidator's numbers."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    forest = reg.forest_model("y", trees=5, depth=3)
+    grid = {"maxDepth": [2, 4]}
+    _, table = reg.grid_search(rows, "key", COLUMNS, "y", forest, grid, folds=3)
+    prepared = feat.with_fold(rows.na.drop(subset=["y"]), "key", 3)
+    gaps = feat.columns_with_gaps(prepared, COLUMNS)
+    settings = ParamGridBuilder().addGrid(forest.getParam("maxDepth"), [2, 4]).build()
+    theirs = CrossValidator(
+        estimator=reg.pipeline(COLUMNS, forest, gaps), estimatorParamMaps=settings,
+        evaluator=RegressionEvaluator(labelCol="y", metricName="r2"), numFolds=3, foldCol="fold",
+    ).fit(prepared)
+    ours = {r["maxDepth"]: (r["mean_r2"], r["std_r2"]) for r in table.collect()}
+    assert [*ours["2"], *ours["4"]] == pytest.approx([x for pair in zip(theirs.avgMetrics, theirs.stdMetrics) for x in pair])
