@@ -30,12 +30,23 @@ def unique_names(parts: Mapping[str, DataFrame], key: str) -> dict[str, DataFram
 def joined(left: DataFrame, right: DataFrame, key: str, how: str = "inner", null_safe: bool = False) -> DataFrame:
     """Equi-join on one key that both sides carry.
 
-    Missing keys match nothing; with ``null_safe`` they match each other.
+    Missing keys match nothing; with ``null_safe`` they match each other.  In an
+    inner or left null-safe join the rows without a key are spread over
+    ``NULL_SALTS`` tasks (the right side's copied to each), not gathered in one.
     """
     if not null_safe:
         return left.join(right, key, how)
     other = right.withColumnRenamed(key, "_key")
-    both = left.join(other, F.col(key).eqNullSafe(F.col("_key")), how)
+    if how not in ("inner", "left", "left_outer", "leftouter"):
+        both = left.join(other, F.col(key).eqNullSafe(F.col("_key")), how)
+        return both.withColumn(key, F.coalesce(key, "_key")).drop("_key")
+    # present keys join as usual; the NULL keys, which would all meet in one task,
+    # are dealt over NULL_SALTS salts on the left and copied to every salt on the right
+    present = left.where(F.col(key).isNotNull()).join(other.where(F.col("_key").isNotNull()), F.col(key) == F.col("_key"), how)
+    dealt = left.where(F.col(key).isNull()).withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(NULL_SALTS)))
+    copied = other.where(F.col("_key").isNull()).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(NULL_SALTS - 1))))
+    missing = dealt.join(copied, "_salt", how).drop("_salt")
+    both = present.unionByName(missing)
     return both.withColumn(key, F.coalesce(key, "_key")).drop("_key")
 
 
@@ -50,6 +61,8 @@ def chained(parts: Mapping[str, DataFrame], key: str, how: str = "inner", null_s
     return reduce(lambda a, b: joined(a, b, key, how, null_safe), tables)
 
 
+#: salts over which the rows without a key are dealt in a null-safe inner or left join
+NULL_SALTS = 64
 #: rows of one key's most repeated part that one task joins at most (salted beyond)
 ROWS_PER_TASK = 100_000
 

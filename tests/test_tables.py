@@ -205,3 +205,16 @@ def test_unlisted_categories_are_refused_not_dropped(spark):
             built.collect()
     listed = long.where("c is null or c <> 'z'")
     assert sorted(tuple(r) for r in grouping.full_crosstab(listed, "k", "c", ["a", "b"]).collect()) == [(1, "a", 1), (1, "b", 0)]
+
+
+def test_null_safe_join_spreads_missing_keys(spark):
+    from collections import Counter
+
+    left = spark.createDataFrame([(None, i) for i in range(300)] + [(1, 7), (2, 8)], "k int, x int")
+    right = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c"), (3, "d")], "k int, y string")
+    for how in ("inner", "left"):
+        got = Counter(tuple(r) for r in joining.joined(left, right, "k", how, null_safe=True).select("k", "x", "y").collect())
+        plain = left.join(right.withColumnRenamed("k", "k2"), left.k.eqNullSafe(F.col("k2")), how)
+        want = Counter(tuple(r) for r in plain.select(F.coalesce("k", "k2").alias("k"), "x", "y").collect())
+        assert got == want
+    assert sum(got.values()) == 300 * 2 + 2
