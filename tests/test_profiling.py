@@ -121,3 +121,15 @@ def test_stacked_bars_end_at_hundred(spark, folder):
     bars = charts.stacked_bars(table(spark, folder, "lineitem"), "l_returnflag", "l_linenumber")
     tops = bars.groupBy("l_returnflag").agg(F.max(F.col("base") + F.col("height")).alias("top")).collect()
     assert [r["top"] for r in tops] == pytest.approx([100.0] * 3)
+
+
+def test_density_of_wide_and_tied_values_equals_the_direct_sum(spark):
+    """Far outliers, many ties and a small bandwidth: bins and moments still give every kernel."""
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(size=2000) * 0.01, np.full(500, 0.003), [40.0, -25.0], rng.uniform(-3, 3, 300)])
+    rows = spark.createDataFrame([(float(v),) for v in values], "v double")
+    found = charts.density(rows, ["v"], points=1000).orderBy("point").collect()
+    grid, heights = np.array([r["x_value"] for r in found]), np.array([r["density"] for r in found])
+    h = values.std(ddof=1) * len(values) ** -0.2
+    direct = np.exp(-0.5 * ((grid[:, None] - values) / h) ** 2).sum(axis=1) / (len(values) * h * math.sqrt(2 * math.pi))
+    assert heights == pytest.approx(direct, rel=1e-9, abs=1e-9 * direct.max())
