@@ -56,6 +56,71 @@ def test_near_duplicates_equal_brute_force(spark, edge_docs, no_docs):
     assert {r["doc_id"]: r["n_shingles"] for r in rows} == {i: len(s) for i, s in enumerate(sets)}
 
 
+def test_long_lists_make_no_row_per_pair(spark, monkeypatch):
+    """120 texts of one template, alike below the similarity, some with a near copy: all share their lists."""
+    draw = random.Random(11)
+    base = [f"t{i}" for i in range(70)]
+    texts = []
+    for number in range(120):
+        changed = list(base)
+        for place in draw.sample(range(4, 60, 8), 3):
+            changed[place + draw.randrange(3)] = f"own{number}"
+        texts.append(" ".join(changed))
+        if number % 10 == 0:
+            texts.append(" ".join([*changed[:-1], "end"]))
+    sets = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in map(str.split, texts)]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    made, parked = [], nearwords.parked
+
+    def counted(df, name):
+        out = parked(df, name)
+        if name.startswith("pairs-"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(nearwords, "parked", counted)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = nearwords.near_duplicates(frame, words=4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == least_of(links, range(len(sets)))
+    # leaders and lists of at most SHORT members only, far from the 8,646 pairs of texts
+    assert sum(made) < 2000
+
+
+@pytest.mark.parametrize("block_values", [1 << 21, 2000])
+def test_blocks_of_a_list_equal_brute_force(spark, monkeypatch, block_values):
+    """A long list, as one block and as many, is joined as by all of its links, sets of any size."""
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    sets = []
+    for _ in range(30):
+        core = draw.integers(0, 1 << 32, int(draw.integers(1, 400)), dtype=np.uint64)
+        sets += [np.unique(core), *[np.unique(np.where(draw.random(len(core)) < share, draw.integers(0, 1 << 32, len(core), dtype=np.uint64), core)) for share in (0.05, 0.1, 0.15)]]
+    links = [
+        (i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))
+    ]
+    before = [(i, i + 1) for i in range(0, len(sets), 10)]  # joined by earlier rounds
+    comps = least_of(before, range(len(sets)))
+    rows = [(1, i, comps[i], len(s), nearwords.low_halves(s).tobytes(), -(-sum(map(len, sets)) // block_values)) for i, s in enumerate(sets)]
+    monkeypatch.setattr(nearwords, "TILE", 16)
+    members = spark.createDataFrame(rows, "value long, id long, c long, n long, low binary, blocks long")
+    found = [tuple(r) for r in nearwords.pairs_of_long_lists(members, 80).collect()]
+    true = [x for x in found if x in set(links)]
+    assert links and least_of(true + before, range(len(sets))) == least_of(links + before, range(len(sets)))
+
+
+def test_many_links_of_a_list_come_back_as_a_forest(spark):
+    """300 sets linked with each other: a link per member, not one per pair."""
+    import numpy as np
+
+    core = np.arange(500, dtype=np.uint32)
+    rows = [(1, i, i, 501, np.append(core, np.uint32(1000 + i)).tobytes(), 1) for i in range(300)]
+    members = spark.createDataFrame(rows, "value long, id long, c long, n long, low binary, blocks long")
+    found = [tuple(r) for r in nearwords.pairs_of_long_lists(members, 80).collect()]
+    assert len(found) == 299 and set(least_of(found, range(300)).values()) == {0}
+
+
 def test_near_duplicate_edges(edge_docs, no_docs):
     kept = nearwords.without_near_duplicates(edge_docs)
     assert kept.columns == edge_docs.columns
