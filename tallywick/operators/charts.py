@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywick.functions.values import not_nan
 from tallywick.operators.association import correlation_matrix, lower_triangle
-
+from tallywick.operators.bounds import broadcast_if
 from tallywick.operators.grouping import crosstab, row_percent
 from tallywick.operators.profiling import FENCE, QUARTILES, frequencies, per_column, with_fences
 from tallywick.operators.ranking import quantiles, stacked, sums_before
@@ -56,12 +56,16 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
     )
 
 
-def box_statistics(rows: DataFrame, groups: Sequence[str], value: str = "value") -> DataFrame:
-    """Quartiles, whiskers (last values inside the fences) and outlier counts per group."""
+def box_statistics(rows: DataFrame, groups: Sequence[str], value: str = "value", small: bool = False) -> DataFrame:
+    """Quartiles, whiskers (last values inside the fences) and outlier counts per group.
+
+    ``small`` states that the number of groups is bounded: their boxes are then
+    broadcast, and no row is shuffled to the task of its group.
+    """
     groups = list(groups)
     present = rows.select(*groups, not_nan(F.col(value)).alias("value")).na.drop()
-    boxes = with_fences(quantiles(present, groups, QUARTILES), FENCE)
-    placed = present.join(boxes, groups)
+    boxes = with_fences(quantiles(present, groups, QUARTILES, small=small), FENCE)
+    placed = present.join(broadcast_if(boxes, small), groups)
     inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     box = [F.max(c).alias(c) for c in ("q1", "median", "q3")]
     return placed.groupBy(*groups).agg(
@@ -73,12 +77,16 @@ def box_statistics(rows: DataFrame, groups: Sequence[str], value: str = "value")
     )
 
 
-def box_outliers(rows: DataFrame, groups: Sequence[str], value: str = "value") -> DataFrame:
-    """The values beyond the whiskers, one row per value and how often it occurs."""
+def box_outliers(rows: DataFrame, groups: Sequence[str], value: str = "value", small: bool = False) -> DataFrame:
+    """The values beyond the whiskers, one row per value and how often it occurs.
+
+    ``small`` states that the number of groups is bounded: their boxes are then
+    broadcast, and no row is shuffled to the task of its group.
+    """
     groups = list(groups)
     present = rows.select(*groups, not_nan(F.col(value)).alias("value")).na.drop()
-    boxes = with_fences(quantiles(present, groups, QUARTILES), FENCE)
-    placed = present.join(boxes, groups)
+    boxes = with_fences(quantiles(present, groups, QUARTILES, small=small), FENCE)
+    placed = present.join(broadcast_if(boxes, small), groups)
     beyond = placed.where(~F.col("value").between(F.col("low_fence"), F.col("high_fence")))
     return beyond.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("n"))
 
@@ -88,7 +96,7 @@ def column_boxes(df: DataFrame, columns: Sequence[str], log10: bool = False) ->
     long = stacked(df, columns)
     if log10:
         long = long.withColumn("value", F.when(F.col("value") > 0, F.log10("value")))
-    return box_statistics(long, ["variable"])
+    return box_statistics(long, ["variable"], small=True)  # one group per listed column
 
 
 #: bandwidths beyond which exp(-z*z/2) is exactly 0.0 in doubles (below the smallest subnormal)

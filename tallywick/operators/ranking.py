@@ -74,11 +74,14 @@ def quantiles(
     probabilities: Mapping[str, float],
     value: str = "value",
     weight: str | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group.
 
     ``probabilities`` maps output names to shares.  ``weight`` names a column of
     repeat counts, as in :func:`value_counts`, whose values are never missing.
+    ``small`` states that the number of groups is bounded: the buckets that hold a
+    wanted rank, at most two per share and group, are then broadcast.
     Rows whose group key is NULL are left out.  No job runs while the plan is
     built, and no task holds more than one bucket's values.
     """
@@ -92,10 +95,10 @@ def quantiles(
         source = source.where(F.col(key).isNotNull())
     if weight is None:  # counted values are present already
         source = source.where(F.col("v").isNotNull())
-    return _bucket_quantiles(source, groups, probabilities)
+    return _bucket_quantiles(source, groups, probabilities, small)
 
 
-def _bucket_quantiles(source: DataFrame, groups: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
+def _bucket_quantiles(source: DataFrame, groups: Sequence[str], probabilities: Mapping[str, float], small: bool) -> DataFrame:
     """Quantiles of any number of distinct values, in three levels of buckets."""
     shares = list(probabilities.values())
     source = source.withColumn("fine", fine_bucket(F.col("v"))).withColumn(
@@ -109,14 +112,14 @@ def _bucket_quantiles(source: DataFrame, groups: Sequence[str], probabilities: M
     coarse = _holding(coarse, groups, "coarse", shares).select(*groups, "coarse", "before", "total")
 
     fine = (
-        source.join(coarse, [*groups, "coarse"])
+        source.join(broadcast_if(coarse, small), [*groups, "coarse"])
         .groupBy(*groups, "coarse", "fine")
         .agg(F.sum("w").alias("n"), F.max("before").alias("before"), F.max("total").alias("total"))
     )
     fine = _holding(fine, [*groups, "coarse"], "fine", shares).select(*groups, "fine", "before", "total")
 
     values = (
-        source.join(fine, [*groups, "fine"])
+        source.join(broadcast_if(fine, small), [*groups, "fine"])
         .groupBy(*groups, "fine", "v")
         .agg(F.sum("w").alias("n"), F.max("before").alias("before"), F.max("total").alias("total"))
     )
