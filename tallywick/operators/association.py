@@ -48,44 +48,36 @@ def pearson(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
 def spearman(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     """Rank correlation with average ranks for ties, and its two-sided p.
 
-    Rows are combined to (x, y) cell counts first.  Both sides of all pairs are
+    Rows are combined to (x, y) cell counts first, under the pair's number.  Both sides of all pairs are
     ranked in one pass: their value counts are stacked and ranked by a prefix
-    sum over range partitions (:func:`range_ranks`).  Twice a rank is an
-    integer, and so is twice its distance from the mean rank, so the sums
+    sum over range partitions (:func:`range_ranks`); each cell then takes the rank of
+    either side by a join, in narrow rows of numbers.  Twice a rank is an integer, and so is twice its distance from the mean rank, so the sums
     behind rho are exact (decimal) integers.
     """
     rows = []
-    for pair in pairs:
+    for number, pair in enumerate(pairs):
         a, b = _sides(pair)
-        rows.append(F.struct(F.lit(pair[0]).alias("x"), F.lit(pair[1]).alias("y"), a.alias("a"), b.alias("b")))
+        rows.append(F.struct(F.lit(number).alias("pair"), a.alias("a"), b.alias("b")))
     cells = (
         df.select(F.inline(F.array(*rows)))
         .where(F.col("a").isNotNull() & F.col("b").isNotNull())
-        .groupBy("x", "y", "a", "b")
+        .groupBy("pair", "a", "b")
         .agg(F.count(F.lit(1)).alias("c"))
     )
     sides = F.array(
-        F.struct(F.lit("a").alias("side"), F.col("a").alias("va"), F.lit(None).cast(cells.schema["b"].dataType).alias("vb")),
-        F.struct(F.lit("b").alias("side"), F.lit(None).cast(cells.schema["a"].dataType).alias("va"), F.col("b").alias("vb")),
-    )
-    # each cell twice, once per side; ranked once and paired again by cell
-    halves = cells.select("x", "y", "a", "b", "c", F.inline(sides))
-    counts = halves.groupBy("x", "y", "side", "va", "vb").agg(F.sum("c").alias("n"))
-    ranks = range_ranks(counts, ["x", "y", "side"], ["va", "vb"]).withColumnsRenamed({"va": "ra", "vb": "rb", "side": "rside", "x": "rx", "y": "ry"})
-    matched = halves.join(
-        ranks,
-        (halves.x == ranks.rx) & (halves.y == ranks.ry) & (halves.side == ranks.rside) & halves.va.eqNullSafe(ranks.ra) & halves.vb.eqNullSafe(ranks.rb),
+        F.struct(F.lit(0).alias("side"), F.col("a").alias("va"), F.lit(None).cast(cells.schema["b"].dataType).alias("vb")),
+        F.struct(F.lit(1).alias("side"), F.lit(None).cast(cells.schema["a"].dataType).alias("va"), F.col("b").alias("vb")),
     )
+    # each cell adds to one value per side; all sides are ranked in one pass
+    counts = cells.select("pair", "c", F.inline(sides)).groupBy("pair", "side", "va", "vb").agg(F.sum("c").alias("n"))
+    ranks = range_ranks(counts, ["pair", "side"], ["va", "vb"])
     distance = F.col("twice_rank") - F.col("total") - 1
-    ranked = matched.groupBy("x", "y", "a", "b").agg(
-        F.max("c").alias("c"),
-        F.max(F.when(F.col("side") == "a", distance)).alias("da"),
-        F.max(F.when(F.col("side") == "b", distance)).alias("db"),
-        F.max("total").alias("total"),
-    )
+    left = ranks.where("side = 0").select("pair", F.col("va").alias("a"), distance.alias("da"), "total")
+    right = ranks.where("side = 1").select("pair", F.col("vb").alias("b"), distance.alias("db"))
+    ranked = cells.join(left, ["pair", "a"]).select("pair", "b", "c", "da", "total").join(right, ["pair", "b"])
     exact = "decimal(38, 0)"
     da, db, c = (F.col(n).cast(exact) for n in ("da", "db", "c"))
-    sums = ranked.groupBy("x", "y").agg(
+    sums = ranked.groupBy("pair").agg(
         F.max("total").alias("n"),
         F.sum(c * da * db).cast("double").alias("ab"),
         F.sum(c * da * da).cast("double").alias("aa"),
@@ -93,7 +85,8 @@ def spearman(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     )
     rho = F.try_divide(F.col("ab"), F.sqrt("aa") * F.sqrt("bb"))
     # one row per listed pair: a bound known before the job runs
-    asked = listed(df.sparkSession, ["x", "y"], pairs).join(F.broadcast(sums), ["x", "y"], "left")
+    names = listed(df.sparkSession, ["pair", "x", "y"], [(number, *pair) for number, pair in enumerate(pairs)])
+    asked = names.join(F.broadcast(sums), "pair", "left")
     rows = asked.select("x", "y", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n") >= 3, rho).alias("rho"))
     return rows.withColumn("p", correlation_p("rho", "n"))
 

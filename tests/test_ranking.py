@@ -144,6 +144,29 @@ def test_spearman_plan_shuffles_at_most_ten_times(spark):
     assert 0 < len(shuffles) <= 10
 
 
+def test_spearman_shuffles_numbers_only(spark):
+    from tallywick.operators import association
+
+    rows = spark.range(500).select((F.col("id") % 37).alias("a"), (F.col("id") % 101).cast("double").alias("b"))
+    plan = association.spearman(rows, [("a", "b"), ("b", "a")])._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("partitioning(")[1] for line in plan.split("\n") if "partitioning(" in line]
+    assert keys and not any(name in key for key in keys for name in ("x#", "y#"))
+
+
+def test_boxes_of_listed_columns_shuffle_no_row(spark):
+    rows = spark.range(500).select((F.col("id") % 37).alias("a"), (F.col("id") % 101).cast("double").alias("b"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of unknown size
+    try:
+        plan = charts.column_boxes(rows, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+        many = charts.box_statistics(rows, ["a"], "b")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    # groups whose number is not known keep the planner's choice
+    assert "BroadcastHashJoin" not in many
+
+
 def test_sums_before_equal_a_running_total_across_ranges(spark):
     rng = random.Random(4)
     data = [(rng.choice(["a", "b"]), i, float(rng.randint(0, 9))) for i in range(2000)] + [("c", 1, 2.5)]
