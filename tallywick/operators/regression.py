@@ -77,18 +77,42 @@ def train(
     redistributes the rows by key before they are cached, for sources that arrive
     in few partitions: every pass of a fit then uses all executors.
     """
-    rows = df.select(key, target, *features).na.drop(subset=[target])
+    models, scores = train_targets(df, key, features, {target: estimators}, percent, leaky, spread)
+    return models[target], scores
+
+
+def train_targets(
+    df: DataFrame,
+    key: str,
+    features: Sequence[str],
+    estimators: Mapping[str, Mapping[str, Estimator]],
+    percent: int = 80,
+    leaky: bool = False,
+    spread: bool = False,
+) -> tuple[dict[str, dict[str, PipelineModel]], DataFrame]:
+    """:func:`train` for several targets, ``estimators`` by target, over one cached copy of the rows.
+
+    The key only decides the part and is not cached.  Imputation and scaling are
+    fitted once for all targets where none has a gap, else per target on its rows.
+    """
+    targets = list(estimators)
+    rows = df.select(key, *targets, *features).na.drop(how="all", subset=targets)
     rows = split_by_key(rows.repartition(key) if spread else rows, key, percent)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    training, holdout = rows.where("part = 'train'"), rows.where("part = 'test'")
-    scaler = MedianScaler(features).fit(rows if leaky else training)
-    models, tables = {}, []
-    for name, estimator in estimators.items():
-        fitted = estimator.fit(scaler.transform(training))
-        models[name] = PipelineModel(stages=[scaler, fitted])
-        scores = regression_metrics(models[name].transform(holdout), target, "prediction")
-        tables.append(scores.select(F.lit(target).alias("target"), F.lit(name).alias("model"), "*"))
-    # one row per estimator
+    rows = rows.select("part", *targets, *features).persist(StorageLevel.MEMORY_AND_DISK)
+    gaps = len(targets) > 1 and not rows.where(F.array_contains(F.array(*[F.col(t).isNull() for t in targets]), True)).isEmpty()
+    models, tables, scaler = {}, [], None
+    for target in targets:
+        own = rows.na.drop(subset=[target])
+        training, holdout = own.where("part = 'train'"), own.where("part = 'test'")
+        if scaler is None or gaps:
+            scaler = MedianScaler(features).fit(own if leaky else training)
+        models[target] = {}
+        for name, estimator in estimators[target].items():
+            fitted = PipelineModel(stages=[scaler, estimator.fit(scaler.transform(training))])
+            models[target][name] = fitted
+            scores = regression_metrics(fitted.transform(holdout), target, "prediction")
+            tables.append(scores.select(F.lit(target).alias("target"), F.lit(name).alias("model"), "*"))
+    # one row per target and estimator
     return models, _settled(reduce(lambda a, b: a.unionByName(b), tables), rows)
 
 

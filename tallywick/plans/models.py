@@ -152,11 +152,8 @@ def model_scores(spark, folder):
 def model_comparison(spark, folder):
     """Both models on two targets, side by side per target."""
     lines = _lines(spark, folder).withColumn("revenue", F.col(TARGET) * (1 - F.col("l_discount")))
-    tables = []
-    for target in (TARGET, "revenue"):
-        estimators = {"linear": reg.linear_model(target), "forest": _small_forest(target, depth=4)}
-        tables.append(reg.train(lines, "line", FEATURES, target, estimators)[1])
-    both = tables[0].unionByName(tables[1])
+    estimators = {t: {"linear": reg.linear_model(t), "forest": _small_forest(t, depth=4)} for t in (TARGET, "revenue")}
+    both = reg.train_targets(lines, "line", FEATURES, estimators)[1]
     linear, forest = (both.where(F.col("model") == m).drop("model", "n") for m in ("linear", "forest"))
     return compared(linear, forest, "target", ("_linear", "_forest"))
 
@@ -184,10 +181,8 @@ def importances(spark, folder):
 def importances_compared(spark, folder):
     """What matters for two targets, side by side."""
     lines = _lines(spark, folder).withColumn("revenue", F.col(TARGET) * (1 - F.col("l_discount")))
-    sides = []
-    for target in (TARGET, "revenue"):
-        models, _ = reg.train(lines, "line", FEATURES, target, {"forest": _small_forest(target, depth=4)})
-        sides.append(reg.importances(spark, models["forest"], FEATURES))
+    models, _ = reg.train_targets(lines, "line", FEATURES, {t: {"forest": _small_forest(t, depth=4)} for t in (TARGET, "revenue")})
+    sides = [reg.importances(spark, found["forest"], FEATURES) for found in models.values()]
     return compared(*sides, "feature", ("_price", "_revenue"))
 
 

@@ -98,6 +98,31 @@ def test_ordinary_least_squares_equals_the_normal_equations(rows, frame):
     assert row["r2"] == pytest.approx(1 - (error**2).mean() / frame["y"][~train].var(ddof=0))
 
 
+@pytest.mark.parametrize("with_gap", [False, True])
+def test_targets_trained_together_equal_each_alone(rows, with_gap):
+    other = F.col("y") * 2 + F.col("a")
+    both = rows.withColumn("z", F.when(F.col("key") % 7 != 0, other) if with_gap else F.coalesce(other, F.lit(0.0)))
+    estimators = {t: {"linear": reg.linear_model(t)} for t in ("y", "z")}
+    models, scores = reg.train_targets(both, "key", COLUMNS, estimators)
+    found = {r["target"]: r for r in scores.collect()}
+    for target in estimators:
+        alone, score = reg.train(both, "key", COLUMNS, target, estimators[target])
+        row = score.first()
+        assert found[target]["n"] == row["n"] and found[target]["rmse"] == pytest.approx(row["rmse"], rel=1e-8)
+        for column, stats in alone["linear"].stages[0].stats.items():
+            assert models[target]["linear"].stages[0].stats[column] == pytest.approx(stats)
+
+
+def test_column_medians_shuffle_no_row(spark, rows):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of unknown size
+    try:
+        plan = feat.column_medians(rows, COLUMNS)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan
+
+
 def test_leaky_preparation_uses_all_rows(rows, frame):
     models, _ = reg.train(rows, "key", COLUMNS, "y", {"linear": reg.linear_model("y")}, leaky=True)
     assert models["linear"].stages[0].stats["a"][0] == pytest.approx(frame["a"].mean())
