@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -246,3 +247,57 @@ def test_like_lines_equal_brute_force(spark):
                 if 100 * len(a & b) >= 80 * len(a | b):
                     least[i] = min(least[i], least[j])
     assert {r["doc_id"] for r in kept.where("text != ''").collect()} == {i for i, x in enumerate(least) if i == x}
+
+
+def test_lists_of_the_same_members_are_compared_once(spark, monkeypatch):
+    """60 sets, each linked with its neighbours, in 20 lists: a link per member, not one per list or pair."""
+    import numpy as np
+
+    members = 60
+    sets = spark.createDataFrame([(i, 100, np.arange(8 * i, 8 * i + 100, dtype=np.uint64).tobytes()) for i in range(members)], "id long, n long, whole binary")
+    lists = spark.createDataFrame([(i, 100, v) for i in range(members) for v in range(20)], "id long, n long, value long")
+    made, compared = [], nearwords.pairs_of_long_lists
+
+    def counted(*given):
+        made.append(compared(*given).count())
+        return compared(*given)
+
+    monkeypatch.setattr(nearwords, "pairs_of_long_lists", counted)
+    found = nearwords.linked_through_lists(lists, lambda pairs: pairs.where("b - a < 2"), lambda ids: sets.join(ids, "id"), 80)
+    assert {r["id"]: r["c"] for r in found.collect()} == dict.fromkeys(range(members), 0)
+    assert 0 < made[0] < members
+
+
+def test_lines_that_stand_alone_are_written_as_places_only(spark, monkeypatch):
+    draw, written, parked = random.Random(6), {}, linededup.parked
+
+    def counted(df, name):
+        out = parked(df, name)
+        written[name] = out.count() * len(out.columns)
+        return out
+
+    monkeypatch.setattr(linededup, "parked", counted)
+    texts = ["\n".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=40)) for _ in range(20)) for _ in range(30)]
+    kept = linededup.without_repeated_lines(spark.createDataFrame(list(enumerate([*texts, texts[0]])), "doc_id long, text string"))
+    assert sorted(r["text"] or "" for r in kept.collect()) == sorted(["", *texts])
+    # four numbers for each of 620 lines, no signature; the 20 lines of the copy are listed for removal
+    assert sum(written.values()) <= 4 * 620 + 40 * 4 + 3
+
+
+def test_written_rows_leave_no_shuffle_files(spark):
+    from pathlib import Path
+
+    from tallywick.llm.common import parked, released
+
+    place = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    before = {p.name for p in place.rglob("shuffle_*")}
+    rows = parked(spark.range(10000).groupBy((F.col("id") % 100).alias("k")).count(), "rows")
+    for _ in range(50):
+        if {p.name for p in place.rglob("shuffle_*")} <= before:
+            break
+        time.sleep(0.1)
+    assert {p.name for p in place.rglob("shuffle_*")} <= before
+    assert rows.count() == 100
+    assert Path(rows.parked_at.removeprefix("file:")).exists()
+    released(rows)
+    assert not Path(rows.parked_at.removeprefix("file:")).exists()
