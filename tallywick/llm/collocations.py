@@ -1,17 +1,20 @@
 """Phrase collocations mined by SETM: relational joins of occurrence lists, level by level.
 
 Texts are lower-cased (A-Z only), cut at ``[.,;:!?\\n\\v\\f\\r]`` into pieces and
-the pieces into words (runs of anything but space and tab).  Words seen at
-least ``SUPPORT`` times in their language get a number, and the occurrence
-relation ``(row, piece, at, word number)`` of those words only (a semi-join) is
-written once.  Then, for lengths 2, 3 and 4, SETM's step:
-
-* join the occurrences of frequent phrases of length k with the frequent-word
-  occurrences on ``(row, piece, end + 1)`` (a merge join of two sorted lists),
-* count each new phrase per language (partial counts per task, so a very
-  common phrase costs one row per task),
-* keep, by a semi-join with the frequent counts, only occurrences of frequent
-  phrases; they are written and feed the next length.
+the pieces into words (runs of anything but space and tab).  A word's number is a
+64-bit hash of language and word; a seed is taken by which no two words of the
+table share one, so phrases of numbers are phrases of words.  An occurrence is a
+row of the word numbers at its place and the places after it: a piece's words
+lie in one row in order, so SETM's join with the next place is made where the
+text is read, without a shuffle.  Then, for lengths 2, 3 and 4, SETM's step:
+
+* count the phrases of the occurrences (partial counts per task, so a very
+  common phrase costs one row per task) and keep the frequent ones,
+* keep, by a semi-join with the frequent phrases, only occurrences whose phrase
+  is frequent and whose next place begins a frequent phrase; they feed the next
+  length.
+
+Occurrences are written after length 2, when most of them are gone.
 
 Frequent phrases of 2 to 4 words are the candidates.  A candidate's score is
 the least ``floor(2000000 a / (l + r))`` over its cuts (ties: the first cut),
@@ -28,63 +31,90 @@ gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywick.llm.common import parked, shipped, table
+from tallywick.llm.common import parked, released, shipped, table
 
 #: fixed values of the contract
-BREAKS = "[.,;:!?\\n\\x0B\\f\\r]"
-WORD = "[^ \\t]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: every break is read as the first of them, a tab as a space
+BREAKS, BLANKS = ",.;:!?\n\x0b\f\r", " \t"
 SUPPORT, LONGEST, TOP, SCALE = 30, 4, 2000, 2_000_000
 #: the containment rule: 100 f(longer) >= 80 a
 KEEP_NUMERATOR, KEEP_DENOMINATOR = 80, 100
 #: groups of the first ranking round; each group gives at most TOP rows to the second
 RANK_GROUPS = 64
+#: at most so many frequent phrases are sent to all executors, more are joined by a shuffle
+SENT = 500_000
+#: hash seeds that are tried; two words share a number under one of them about once in 10^4 at 10^8 words
+SEEDS = 8
+W = [f"w{i}" for i in range(1, LONGEST + 1)]
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """``lang, row, piece, at, word`` of every word occurrence (not written: it is as large as the text)."""
+def pieces(docs: DataFrame) -> DataFrame:
+    """``lang, words`` of every piece (not written: it is as large as the text)."""
     shipped(docs.sparkSession)
-    rows = docs.select(
-        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-        F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER).alias("text"),
-    ).withColumn("row", F.monotonically_increasing_id())
-    pieces = rows.select("lang", "row", F.posexplode(F.split("text", BREAKS, -1)).alias("piece", "body"))
-    return pieces.select("lang", "row", "piece", F.posexplode(F.regexp_extract_all("body", F.lit(WORD), 0)).alias("at", "word"))
+    plain = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER + BREAKS + BLANKS, LOWER + BREAKS[0] * len(BREAKS) + BLANKS[0] * len(BLANKS))
+    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.explode(F.split(plain, BREAKS[0], -1)).alias("body"))
+    return rows.select("lang", F.array_remove(F.split("body", BLANKS[0], -1), "").alias("words"))
+
+
+def word_number(lang: Column, word: Column, seed: int) -> Column:
+    return F.xxhash64(lang, word, F.lit(seed))
+
+
+def seed_for(counts: DataFrame) -> int:
+    """A seed by which all words of ``counts(lang, word)`` have numbers of their own."""
+    for seed in range(SEEDS):
+        numbers = counts.groupBy(word_number(F.col("lang"), F.col("word"), seed).alias("wid")).count()
+        if numbers.where("count > 1").isEmpty():
+            return seed
+    raise RuntimeError(f"words share numbers under each of {SEEDS} seeds")
 
 
-def counted(level: DataFrame) -> DataFrame:
-    """``ids, f`` of phrases seen at least SUPPORT times (a word number implies its language)."""
-    return level.groupBy("ids").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= SUPPORT)
+def occurrences(docs: DataFrame, seed: int, longest: int) -> DataFrame:
+    """``w1, ..., w<longest>`` of every place: its word number and those of the places after it, null beyond the piece."""
+    numbered = pieces(docs).select(F.transform("words", lambda w: word_number(F.col("lang"), w, seed)).alias("ids"))
+    following = [F.expr(f"slice(ids, {i}, size(ids))").alias(W[i - 1]) for i in range(1, longest + 1)]
+    return numbered.select(F.explode(F.arrays_zip(*following)).alias("o")).select(*[F.col("o")[W[i]].alias(W[i]) for i in range(longest)])
+
+
+def counted(places: DataFrame, k: int) -> DataFrame:
+    """``w1, ..., wk, f`` of phrases seen at least SUPPORT times (a word number implies its language); written."""
+    found = places.where(F.col(W[k - 1]).isNotNull()).groupBy(*W[:k]).agg(F.count(F.lit(1)).alias("f"))
+    return parked(found.where(F.col("f") >= SUPPORT), f"setm-{k}-counts")
+
+
+def frequent_here_and_next(places: DataFrame, phrases: DataFrame, k: int) -> DataFrame:
+    """Places at which a frequent phrase of k words begins, and another one at the next place."""
+    few = phrases.count() <= SENT
+    for first in (0, 1):
+        wanted = phrases.select(*[F.col(W[i]).alias(W[i + first]) for i in range(k)])
+        places = places.join(F.broadcast(wanted) if few else wanted, W[first : first + k], "left_semi")
+    return places
 
 
 def mined(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Frequent phrases ``lang, ids, k, f`` of 1 to LONGEST words, the word numbers ``lang, wid, word`` and ``lang, n``.
-
-    Counting reads the texts once; the occurrence relation of frequent words,
-    four numbers a row, is the first one written.  Every number of a word
-    belongs to one language, so later relations carry no language.
-    """
-    counts = parked(occurrences(docs).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f")), "setm-words")
-    totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
-    numbers = parked(counts.where(F.col("f") >= SUPPORT).withColumn("wid", F.monotonically_increasing_id()), "setm-numbers")
-    # the semi-join with frequent words: only their places can start or extend a frequent phrase
-    base = parked(occurrences(docs).join(numbers.select("lang", "word", "wid"), ["lang", "word"]).select("row", "piece", "at", "wid"), "setm-1")
+    """Frequent phrases ``lang, ids, k, f`` of 1 to LONGEST words, the word numbers ``lang, wid, word`` and ``lang, n``."""
+    words = pieces(docs).select("lang", F.explode("words").alias("word"))
+    counts = parked(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f")), "setm-words")
+    seed = seed_for(counts)
+    totals = parked(counts.groupBy("lang").agg(F.sum("f").alias("n")), "setm-totals")
+    numbered = counts.where(F.col("f") >= SUPPORT).withColumn("wid", word_number(F.col("lang"), F.col("word"), seed))
+    numbers = parked(numbered, "setm-numbers")
+    released(counts)
     found = [numbers.select(F.array("wid").alias("ids"), F.lit(1).alias("k"), "f")]
-    level = base.select("row", "piece", F.col("at").alias("end"), F.array("wid").alias("ids"))
-    step = base.select("row", "piece", F.col("at").alias("next"), "wid")
+    places = None
     for k in range(2, LONGEST + 1):
-        longer = level.join(step, (level.row == step.row) & (level.piece == step.piece) & (step.next == level.end + 1)).select(
-            level.row, level.piece, F.col("next").alias("end"), F.concat("ids", F.array("wid")).alias("ids")
-        )
-        if k < LONGEST:
-            longer = parked(longer, f"setm-{k}-all")
-        counts_k = parked(counted(longer), f"setm-{k}-counts")
-        found.append(counts_k.select("ids", F.lit(k).alias("k"), "f"))
-        if k < LONGEST:
-            level = parked(longer.join(counts_k.select("ids"), "ids", "left_semi"), f"setm-{k}")
+        level = counted(occurrences(docs, seed, k) if places is None else places, k)
+        found.append(level.select(F.array(*W[:k]).alias("ids"), F.lit(k).alias("k"), "f"))
+        if places is None:
+            places = parked(frequent_here_and_next(occurrences(docs, seed, LONGEST), level, k), f"setm-{k}")
+            written = places
+        elif k < LONGEST:
+            places = frequent_here_and_next(places, level, k)
+    released(written)
     phrases = found[0]
     for more in found[1:]:
         phrases = phrases.unionByName(more)

@@ -44,3 +44,33 @@ def test_top_and_edges(spark, edge_docs, no_docs):
     assert sorted(r["rank"] for r in got) == [1, 1, 1, 2, 2, 2]
     assert collocations.collocations(no_docs).count() == 0
     assert collocations.collocations(edge_docs.withColumn("lang", edge_docs["id"])).count() >= 0
+
+
+def test_occurrences_of_rare_phrases_are_never_written(spark, monkeypatch):
+    """2,000 texts of frequent words in any order: no phrase is frequent, so no place is written."""
+    rng, written, parked = random.Random(4), [], collocations.parked
+    words = [f"w{i}" for i in range(600)]
+    rows = [(i, " ".join(rng.choices(words, k=20)) + ".A\tlast phrase", "en") for i in range(2000)]
+
+    def recorded(df, name):
+        out = parked(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(collocations, "parked", recorded)
+    got = sorted(tuple(r) for r in collocations.collocations(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect())
+    assert got == twin(rows) and got
+    assert sum(written) < 10_000  # the 2,000 places of one phrase, words and phrases; 46,000 places are read
+
+
+def test_words_never_share_a_number(spark, monkeypatch):
+    numbered, seeds = collocations.word_number, []
+
+    def clashing(lang, word, seed):
+        seeds.append(seed)
+        return numbered(lang, word, seed) % 10 if seed < 2 else numbered(lang, word, seed)
+
+    monkeypatch.setattr(collocations, "word_number", clashing)
+    rows = corpus()
+    got = sorted(tuple(r) for r in collocations.collocations(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect())
+    assert got == twin(rows) and 2 in seeds and 3 not in seeds
