@@ -301,3 +301,49 @@ def test_written_rows_leave_no_shuffle_files(spark):
     assert Path(rows.parked_at.removeprefix("file:")).exists()
     released(rows)
     assert not Path(rows.parked_at.removeprefix("file:")).exists()
+
+
+def test_line_dedup_runs_no_python(spark, monkeypatch):
+    """Every table it writes and its result come from DataFrame operations alone."""
+    plans, parked = [], linededup.parked
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return parked(df, name)
+
+    monkeypatch.setattr(linededup, "parked", noted)
+    line = "the quick brown fox jumps over the lazy dog near the old river bank"
+    rows = spark.createDataFrame([(1, line), (2, line + "!"), (3, "unlike in every way, this one")], "doc_id long, text string")
+    rows = spark.read.schema(rows.schema).parquet(parked(rows, "rows").parked_at)
+    out = linededup.without_repeated_lines(rows)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: line, 2: "", 3: "unlike in every way, this one"}
+    assert len(plans) > 5 and not [p for p in plans if "Arrow" in p or "Python" in p or "Pandas" in p]
+
+
+def test_pairs_of_unlike_lines_in_a_list_make_no_rows(spark, monkeypatch):
+    """40 lines that share a list and no more: the join of the list's members gives none of their 780 pairs."""
+    written, parked = {}, linededup.parked
+
+    def counted(df, name):
+        out = parked(df, name)
+        written[name] = out.count()
+        return out
+
+    draw = random.Random(9)
+    signed = [(i, [77], draw.getrandbits(64) - (1 << 63)) for i in range(40)]
+    frame = spark.createDataFrame(signed, "id long, bands array<long>, sketch long")
+    monkeypatch.setattr(linededup, "parked", counted)
+    monkeypatch.setattr(linededup, "signed_lines", lambda lines: frame)
+    lines = spark.createDataFrame([(i, f"line {i}") for i in range(40)], "id long, line string")
+    assert linededup.line_components(lines).count() == 0
+    assert written["line-lists"] == 40 and written["line-pairs-0"] + written["line-pairs-1"] < 40
+
+
+@pytest.mark.parametrize("line", ["ab", "abcde", "abcdef", "ab\r cdefé", "a😀b😀cd😀", "日本語日本語日本語日本", "aaaaaaaaaaaa"])
+def test_shingles_in_sql_are_those_of_code_points(spark, line):
+    lines = spark.createDataFrame([(1, line)], "id long, line string")
+    hashes = {r["h"] for r in linededup.shingle_rows(lines).collect()}
+    assert len(hashes) == len(linededup.shingles_of(line))
+    pairs = spark.createDataFrame([(1, 2, line, line), (1, 3, line, line + "xyzxyzxyzw")], "a long, b long, a_line string, b_line string")
+    assert [tuple(r) for r in linededup.similar(pairs, 80).collect()] == [(1, 2)]
