@@ -347,3 +347,49 @@ def test_shingles_in_sql_are_those_of_code_points(spark, line):
     assert len(hashes) == len(linededup.shingles_of(line))
     pairs = spark.createDataFrame([(1, 2, line, line), (1, 3, line, line + "xyzxyzxyzw")], "a long, b long, a_line string, b_line string")
     assert [tuple(r) for r in linededup.similar(pairs, 80).collect()] == [(1, 2)]
+
+
+def test_members_of_a_list_make_rows_of_links_only(spark, monkeypatch):
+    """200 variants of a line, alike and mostly below the similarity: no row for a pair that is not a link."""
+    draw = random.Random(12)
+    base = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=300))
+    lines = set()
+    while len(lines) < 200:
+        changed = list(base)
+        for place in draw.sample(range(300), draw.randint(3, 6)):
+            changed[place] = draw.choice("ABCDEFG")
+        lines.add("".join(changed))
+    lines, written, parked = sorted(lines), {}, linededup.parked
+    draw.shuffle(lines)
+
+    def counted(df, name):
+        out = parked(df, name)
+        written[name] = out.count()
+        return out
+
+    # one list for all, so that each pair is tried
+    signed = linededup.signed_lines
+    monkeypatch.setattr(linededup, "parked", counted)
+    monkeypatch.setattr(linededup, "signed_lines", lambda given: signed(given).withColumn("bands", F.array(F.lit(7).cast("long"))).withColumn("sketch", F.lit(0).cast("long")))
+    found = linededup.line_components(spark.createDataFrame(list(enumerate(lines)), "id long, line string"))
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in lines]
+    links = [(i, j) for i in range(200) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    expected = least_of(links, range(200))
+    linked = {x for pair in links for x in pair}
+    assert {r["id"]: r["c"] for r in found.collect()} == {i: expected[i] for i in linked}
+    assert links and len(links) < 10_000 and sum(v for k, v in written.items() if k.startswith("line-pairs")) <= 199 + len(links)
+
+
+def test_sets_of_lines_and_links_inside_equal_brute_force(spark):
+    draw = random.Random(13)
+    lines = ["ab", "日本語日本語日本語日本", "aaaaaaaaaaaa", "aaaaaaaaaaaaaaaaaaaaa"]
+    for size in (30, 400):
+        base = "".join(draw.choices("abcdefé😀 ", k=size))
+        lines += [base, *[base[:i] + "X" + base[i + 1 :] for i in range(0, size, size // 10)], base + base, base[: size // 2]]
+    rows = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    found = linededup.shingle_sets(rows)
+    assert {r["id"]: len(set(r["shingles"])) for r in found.collect()} == {i: len(linededup.shingles_of(x)) for i, x in enumerate(lines)}
+    members = found.select(F.lit(1).cast("long").alias("lead"), "id", F.lit(0).cast("long").alias("sketch"), F.col("id").alias("c"), "shingles", "part")
+    sets = [set(linededup.shingles_of(x).tolist()) for x in lines]
+    links = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert {tuple(r) for r in linededup.links_inside(members, 80).collect()} == links
