@@ -393,3 +393,14 @@ def test_sets_of_lines_and_links_inside_equal_brute_force(spark):
     sets = [set(linededup.shingles_of(x).tolist()) for x in lines]
     links = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
     assert {tuple(r) for r in linededup.links_inside(members, 80).collect()} == links
+
+
+def test_signatures_do_not_depend_on_shingles_a_row(spark, monkeypatch):
+    draw = random.Random(14)
+    lines = spark.createDataFrame([(i, "".join(draw.choices("abcdé😀 ", k=i))) for i in range(1, 40)], "id long, line string")
+    grouped = {r["id"]: (r["bands"], r["sketch"]) for r in linededup.signed_lines(lines).collect()}
+    rows = linededup.shingle_rows(lines, 8)
+    assert rows.count() == sum(-(-max(1, i - 4) // 8) for i in range(1, 40))
+    one = linededup.shingle_rows
+    monkeypatch.setattr(linededup, "shingle_rows", lambda given, together: one(given).select("id", *[F.col("h").alias(f"h{i}") for i in range(together)]))
+    assert grouped == {r["id"]: (r["bands"], r["sketch"]) for r in linededup.signed_lines(lines).collect()}
